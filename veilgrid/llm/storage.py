@@ -44,7 +44,9 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = stage_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stage_path = path  # for discard() and release()
+    return table
 
 
 def mark() -> int:
@@ -52,21 +54,28 @@ def mark() -> int:
     return len(_OPEN)
 
 
-def release(since: int = 0) -> None:
-    """Deletes the stage tables opened from ``since`` on. Call it once their readers have been materialised."""
-    while len(_OPEN) > since:
-        spark, path = _OPEN.pop()
-        _delete(spark, path)
+def release(since: int = 0, keep: DataFrame | None = None) -> None:
+    """Deletes the stage tables opened from ``since`` on, but the one that ``keep`` scans. Call it once their readers
+    have been materialised."""
+    kept = _scanned(keep) if keep is not None else []
+    for entry in _OPEN[since:]:
+        if entry not in kept:
+            _OPEN.remove(entry)
+            _delete(*entry)
 
 
-def discard(df_path_owner: DataFrame) -> None:
-    """Deletes the stage table that ``df_path_owner`` scans, once nothing reads it any more."""
-    files = [p for p in _OPEN if any(p[1].split("/veilgrid/")[1] in f for f in df_path_owner.inputFiles()[:1])]
-    for entry in files:
+def discard(table: DataFrame) -> None:
+    """Deletes the stage table that ``table`` scans, once nothing reads it any more."""
+    for entry in _scanned(table):
         _OPEN.remove(entry)
         _delete(*entry)
 
 
+def _scanned(table: DataFrame) -> list[tuple[SparkSession, str]]:
+    path = getattr(table, "_stage_path", None)
+    return [entry for entry in _OPEN if entry[1] == path]
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     with contextlib.suppress(Exception):  # the session may have ended; its folder then goes with it
         jvm = spark.sparkContext._jvm
