@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text held as Python strings at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:

@@ -1,78 +1,170 @@
-"""Byte-pair encoding over a contiguous rank array.
+"""Byte-pair encoding over contiguous rank arrays.
 
 A word is held as its part boundaries plus one rank for every pair of neighbouring parts. Encoding scans
 the ranks for the smallest, deletes the boundary between that pair and refreshes the two ranks beside it.
-The arrays of a word are a few dozen entries long, so the scan beats any queue. A word longer than
-``LONG_WORD`` takes the same merges from a heap, which keeps very long words from costing their square.
+The arrays of a word are a few entries long, so the scan beats any queue. :class:`RankArrays` keeps the arrays of many
+short words as the rows of a matrix and takes one merge in each row at a time; a longer word has arrays of its own, and
+one beyond ``LONG_WORD`` takes the same merges from a heap, since scanning would cost the square of its length.
 
-A text is cut into *units* that pre-tokenise independently of each other, and the ids of short units are
-remembered, so the merge runs once for each distinct unit of a worker.
+The merges run once for each distinct pre-token that a worker meets; :class:`WordCache` remembers what came of it.
 """
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
-from collections.abc import Iterable
+import unicodedata
+from collections.abc import Callable, Iterable
 
+import numpy as np
 from tokenizers import Tokenizer
 
-LONG_WORD = 400
-#: Units up to this length are remembered, and so many of them at most.
-UNIT_CHARS, UNIT_LIMIT = 48, 400_000
-_NEVER = 1 << 60
-#: Where a lone space stands between two characters that are not white space, a new pre-token begins.
-_LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_UNEVEN = re.compile(r"^\s|\s$| \s|\s ")
-#: str.split() also splits at these four, which Unicode does not count as white space.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-_WHITE = re.compile("[^\\S\x1c-\x1f]+")
-
-
-def merge_by_rank_array(word: str, cuts: list[int], ranks_of: dict[tuple[str, str], int]) -> list[int]:
-    """The boundaries that remain. ``cuts``: the boundaries of the first parts, 0 and len(word) included."""
-    rank = [ranks_of.get((word[a:b], word[b:c]), _NEVER) for a, b, c in zip(cuts, cuts[1:], cuts[2:], strict=False)]
-    while rank:
-        least = min(rank)
-        if least == _NEVER:
-            break
+MATRIX_WORD, LONG_WORD = 48, 400
+#: So many words are remembered; when there are more, the memory starts anew.
+WORD_LIMIT = 600_000
+_NEVER = np.int32(2**31 - 1)
+_NO_RANK = 1 << 60
+
+
+def merge_by_rank_array(word: list[str], ranks_of: dict[tuple[str, str], int]) -> list[str]:
+    """One word, given as its first parts."""
+    cuts = [0]
+    for part in word:
+        cuts.append(cuts[-1] + len(part))
+    text = "".join(word)
+    rank = [ranks_of.get((text[a:b], text[b:c]), _NO_RANK) for a, b, c in zip(cuts, cuts[1:], cuts[2:], strict=False)]
+    while rank and (least := min(rank)) != _NO_RANK:
         i = rank.index(least)
         del cuts[i + 1], rank[i]
         if i < len(rank):
-            rank[i] = ranks_of.get((word[cuts[i] : cuts[i + 1]], word[cuts[i + 1] : cuts[i + 2]]), _NEVER)
+            rank[i] = ranks_of.get((text[cuts[i] : cuts[i + 1]], text[cuts[i + 1] : cuts[i + 2]]), _NO_RANK)
         if i:
-            rank[i - 1] = ranks_of.get((word[cuts[i - 1] : cuts[i]], word[cuts[i] : cuts[i + 1]]), _NEVER)
-    return cuts
+            rank[i - 1] = ranks_of.get((text[cuts[i - 1] : cuts[i]], text[cuts[i] : cuts[i + 1]]), _NO_RANK)
+    return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def merge_by_heap(word: str, cuts: list[int], ranks_of: dict[tuple[str, str], int]) -> list[int]:
+def merge_by_heap(word: list[str], ranks_of: dict[tuple[str, str], int]) -> list[str]:
     """The same merges in O(n log n), for words too long to scan again and again."""
-    n = len(cuts) - 1
-    after = list(range(1, n + 1))
-    before = list(range(-1, n))
-    alive = [True] * n
-    heap: list[tuple[int, int, int, int]] = []
+    parts: list[str | None] = list(word)
+    n = len(parts)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap: list[tuple[int, int, str, str]] = []
 
     def offer(i: int) -> None:
-        j = after[i]
-        if j < n and (r := ranks_of.get((word[cuts[i] : cuts[j]], word[cuts[j] : cuts[after[j]]]))) is not None:
-            heapq.heappush(heap, (r, i, j, after[j]))
+        if i >= 0 and after[i] < n and (r := ranks_of.get((parts[i], parts[after[i]]))) is not None:
+            heapq.heappush(heap, (r, i, parts[i], parts[after[i]]))
 
     for i in range(n):
         offer(i)
     while heap:
-        _, i, j, end = heapq.heappop(heap)
-        if not (alive[i] and j < n and alive[j] and after[i] == j and after[j] == end):
+        _, i, left, right = heapq.heappop(heap)
+        j = after[i]
+        if parts[i] != left or j >= n or parts[j] != right:
             continue
-        alive[j] = False
-        after[i] = end
-        if end < n:
-            before[end] = i
-        if before[i] >= 0:
-            offer(before[i])
+        parts[i], parts[j] = left + right, None
+        after[i] = after[j]
+        if after[i] < n:
+            before[after[i]] = i
+        offer(before[i])
         offer(i)
-    return [cuts[i] for i in range(n) if alive[i]] + [cuts[n]]
+    return [p for p in parts if p is not None]
+
+
+class RankArrays:
+    """Ids, and ranks of neighbouring ids, of many words: a row each."""
+
+    def __init__(self, left: np.ndarray, right: np.ndarray, merged: np.ndarray) -> None:
+        """The pair (left[r], right[r]) has rank r and becomes merged[r]; ids are below 2 ** 16."""
+        self.merged = merged.astype(np.int32)
+        self.bits = max(4, int(len(left) * 8).bit_length())
+        self.keys, self.ranks = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
+        for key, rank in zip(((left.astype(np.int64) << 16) | right).tolist(), range(len(left)), strict=True):
+            at = self._slot(key)
+            while self.keys[at] != -1:
+                at = (at + 1) & ((1 << self.bits) - 1)
+            self.keys[at], self.ranks[at] = key, rank
+
+    def _slot(self, key):
+        return ((key * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - self.bits)
+
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """_NEVER where there is no such pair; a negative id has none."""
+        key = (left.astype(np.int64) << 16) | right
+        key[(left < 0) | (right < 0)] = -2
+        at = self._slot(key)
+        held = self.keys[at]
+        out = np.where(held == key, self.ranks[at], _NEVER)
+        probing = np.flatnonzero((held != key) & (held != -1))
+        while probing.size:
+            at[probing] = (at[probing] + 1) & ((1 << self.bits) - 1)
+            held = self.keys[at[probing]]
+            hit = held == key[probing]
+            out[probing[hit]] = self.ranks[at[probing[hit]]]
+            probing = probing[~hit & (held != -1)]
+        return out
+
+    def merge(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids: a row per word, padded with -1. Returns the ids after all merges, padded likewise, and how many there are."""
+        out = np.full_like(ids, -1)
+        rows = np.arange(len(ids))
+        rank = self.rank_of(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(ids), -1)
+        while rows.size:
+            if rank.shape[1] == 0:
+                out[rows, : ids.shape[1]] = ids
+                break
+            at = rank.argmin(axis=1)
+            least = rank[np.arange(rows.size), at]
+            done = least == _NEVER
+            if done.any():
+                out[rows[done], : ids.shape[1]] = ids[done]
+                rows, ids, rank, at, least = rows[~done], ids[~done], rank[~done], at[~done], least[~done]
+                if not rows.size:
+                    break
+            every = np.arange(rows.size)
+            ids[every, at] = self.merged[least]
+            after = np.arange(ids.shape[1] - 1)
+            ids = np.take_along_axis(ids, after + (after > at[:, None]), axis=1)
+            after = after[:-1]
+            rank = np.take_along_axis(rank, after + (after >= at[:, None]), axis=1)
+            inner = np.flatnonzero(at < rank.shape[1])
+            if inner.size:
+                rank[inner, at[inner]] = self.rank_of(ids[inner, at[inner]], ids[inner, at[inner] + 1])
+            inner = np.flatnonzero(at > 0)
+            if inner.size:
+                rank[inner, at[inner] - 1] = self.rank_of(ids[inner, at[inner] - 1], ids[inner, at[inner]])
+        return out, (out >= 0).sum(axis=1)
+
+
+def _byte_alphabet() -> list[str]:
+    """The printable stand-in of each byte: itself where it is printable Latin-1, else the next character from U+0100 on."""
+    out, spare = [], 0x100
+    for b in range(256):
+        if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b:
+            out.append(chr(b))
+        else:
+            out.append(chr(spare))
+            spare += 1
+    return out
+
+
+ALPHABET = _byte_alphabet()
+
+
+def _class(kind: str) -> str:
+    """Characters below U+0250 of a general category, as the inside of a character class."""
+    return "".join(f"\\u{c:04x}" for c in range(0x250) if unicodedata.category(chr(c))[0] == kind)
+
+
+_L, _N = _class("L"), _class("N")
+#: In texts of these characters alone, this module's patterns say what the library's own say; others are left to the library.
+_PLAIN = re.compile("[\t-\r -~\xa0-ɏ‐-‧]*")
+_ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+PATTERNS = {
+    "bytes": re.compile(rf"{_ENDINGS}| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+"),
+    "words": re.compile(rf"{_ENDINGS}|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+"),
+}
 
 
 class Model:
@@ -84,29 +176,18 @@ class Model:
         self.library = Tokenizer.from_str(source)
         self.suffix: str = model.get("end_of_word_suffix") or ""
         self.vocab: dict[str, int] = model["vocab"]
-        pairs = (tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"])
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.text_of = {i: t for t, i in (self.vocab | self.special).items()}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
-        self.whitespace_dropped = bool(self.suffix)
-
-    def encode_word(self, word: str) -> list[int]:
-        """Ids of one pre-token, given in the byte alphabet of the vocabulary."""
-        cuts = [*range(len(word)), len(word) + len(self.suffix)]
-        merge = merge_by_rank_array if len(word) <= LONG_WORD else merge_by_heap
-        ended = word + self.suffix
-        cuts = merge(ended, cuts, self.ranks)
-        return [self.vocab[ended[a:b]] for a, b in zip(cuts, cuts[1:], strict=False)]
-
-    def pretokens(self, unit: str) -> Iterable[str]:
-        if self.library.normalizer is not None:
-            unit = self.library.normalizer.normalize_str(unit)
-        return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(unit)]
-
-    def encode_unit(self, unit: str) -> list[int]:
-        return [i for w in self.pretokens(unit) for i in self.encode_word(w)]
+        self.pattern = PATTERNS["words" if self.suffix else "bytes"]
+        self.lowered = bool(self.suffix)
+        ids = lambda texts: np.array([self.vocab[t] for t in texts])
+        self.arrays = RankArrays(ids(a for a, _ in pairs), ids(b for _, b in pairs), ids(a + b for a, b in pairs))
+        self.first_ids = ids(ALPHABET).astype(np.int32)
+        self.last_ids = ids(c + self.suffix for c in ALPHABET).astype(np.int32)
 
     def segments(self, text: str) -> Iterable[tuple[str, int | None]]:
         """Ordinary stretches, with None, and special strings, with their id, in order."""
@@ -114,39 +195,106 @@ class Model:
             return [(text, None)]
         return [(s, self.special.get(s)) for s in self.special_pattern.split(text) if s]
 
-    def units(self, text: str) -> list[str]:
-        """Stretches whose ids follow one another in the ids of the text; white space that decides nothing is left out."""
-        if self.whitespace_dropped:
-            return text.split() if not _SEPARATORS.search(text) else [u for u in _WHITE.split(text) if u]
-        first, *rest = text.split(" ") if not _UNEVEN.search(text) else _LONE_SPACE.split(text)
-        return [first, *[f" {u}" for u in rest]] if first else [f" {u}" for u in rest]
+    def pretokens(self, segment: str) -> list[str]:
+        """The pre-tokens, as text; where the library has to cut, as text in the byte alphabet behind a NUL."""
+        if _PLAIN.fullmatch(segment):
+            return self.pattern.findall(segment.lower() if self.lowered else segment)
+        if self.library.normalizer is not None:
+            segment = self.library.normalizer.normalize_str(segment)
+        return [f"\0{w}" for w, _ in self.library.pre_tokenizer.pre_tokenize_str(segment)]
+
+    def raw(self, word: str) -> bytes:
+        return _unmapped(word[1:]) if word[:1] == "\0" else word.encode()
 
+    def encode_long(self, raw: bytes) -> list[int]:
+        parts = [ALPHABET[b] for b in raw]
+        if parts:
+            parts[-1] += self.suffix
+        merge = merge_by_rank_array if len(parts) <= LONG_WORD else merge_by_heap
+        return [self.vocab[p] for p in merge(parts, self.ranks)]
 
-class UnitCache(dict):
-    """What ``make`` gives for a unit; short units are remembered, the whole memory is dropped when it is full."""
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, how many for each word) for distinct pre-tokens."""
+        raw = [self.raw(w) for w in words]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        counts = np.zeros(len(raw), np.int64)
+        pieces: list[tuple[np.ndarray, np.ndarray]] = []
+        below = 0
+        for width in (8, 12, 16, 24, MATRIX_WORD):
+            chosen = np.flatnonzero((sizes > below) & (sizes <= width))
+            below = width
+            for k in range(0, chosen.size, 20_000):
+                some = chosen[k : k + 20_000]
+                flat = np.frombuffer(b"".join([raw[i] for i in some.tolist()]), np.uint8)
+                size = sizes[some]
+                row = np.repeat(np.arange(some.size), size)
+                column = np.arange(flat.size) - np.repeat(np.cumsum(size) - size, size)
+                ids = np.full((some.size, width), -1, np.int32)
+                ids[row, column] = self.first_ids[flat]
+                ends = np.cumsum(size) - 1
+                ids[np.arange(some.size), size - 1] = self.last_ids[flat[ends]]
+                merged, counts[some] = self.arrays.merge(ids)
+                pieces.append((some, merged[merged >= 0]))
+        for i in np.flatnonzero(sizes > MATRIX_WORD).tolist():
+            ids = np.array(self.encode_long(raw[i]), np.int32)
+            counts[i] = ids.size
+            pieces.append((np.array([i]), ids))
+        starts = np.cumsum(counts) - counts
+        out = np.zeros(int(counts.sum()), np.int32)
+        for some, ids in pieces:
+            n = counts[some]
+            out[np.repeat(starts[some] - (np.cumsum(n) - n), n) + np.arange(ids.size)] = ids
+        return out, counts
+
+    def encode_word(self, word: str) -> list[int]:
+        return self.encode_words([word])[0].tolist()
 
-    def __init__(self, make) -> None:
+
+_BYTE_OF = {c: b for b, c in enumerate(ALPHABET)}
+
+
+def _unmapped(word: str) -> bytes:
+    return bytes(map(_BYTE_OF.__getitem__, word))
+
+
+class WordCache(dict):
+    """What ``make`` gives for the distinct pre-tokens of the texts at hand; make(words) -> values."""
+
+    def __init__(self, model: Model, make: Callable[[list[str]], Iterable]) -> None:
         super().__init__()
-        self.make = make
+        self.model, self.make = model, make
+
+    def cut(self, texts: list[str]) -> list[list[tuple[list[str], int | None]]]:
+        """For each text its stretches: pre-tokens, all of them known to the cache from now on, or a special id."""
+        out, fresh = [], set()
+        for text in texts:
+            stretches = [([s] if special is not None else self.model.pretokens(s), special) for s, special in self.model.segments(text)]
+            for words, special in stretches:
+                if special is None:
+                    fresh.update(words)
+            out.append(stretches)
+        missing = fresh.difference(self)
+        if len(self) + len(missing) > WORD_LIMIT:
+            self.clear()
+            missing = fresh
+        words = sorted(missing)
+        self.update(zip(words, self.make(words), strict=True))
+        return out
+
 
-    def __missing__(self, unit: str):
-        made = self.make(unit)
-        if len(unit) <= UNIT_CHARS:
-            if len(self) >= UNIT_LIMIT:
-                self.clear()
-            self[unit] = made
-        return made
+_KEPT: dict[tuple, object] = {}
 
 
-_MODELS: dict[int, Model] = {}
+def kept_in_worker(key: tuple, make: Callable[[], object]):
+    """One object for each key and Python worker: a worker that runs many tasks builds and fills it once."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+        gc.freeze()  # vocabularies are large and stay: the collector need not look at them again
+    return _KEPT[key]
 
 
 def worker_model(source: str) -> Model:
-    """The model of a tokenizer file's text, built once for each Python worker."""
-    key = hash(source)
-    if key not in _MODELS:
-        _MODELS[key] = Model(source)
-    return _MODELS[key]
+    return kept_in_worker(("model", hash(source)), lambda: Model(source))
 
 
 def read_source(path: str) -> str:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrow_text
-from .bpe import UnitCache, read_source, worker_model
+from .bpe import Model, WordCache, kept_in_worker, read_source, worker_model
 from .storage import id_and_text, stage_table
 
 FAN_IN, CARRY = 8, 20_000
@@ -54,19 +54,31 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def _packed(ids) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
+def _packed_ids(model: Model):
+    def make(words: list[str]) -> list[bytes]:
+        ids, counts = model.encode_words(words)
+        flat, ends = _packed(ids), (4 * np.cumsum(counts)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    return make
+
+
 def pieces_of(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32. Only a document longer than ``capacity`` is cut, its first piece being the shorter one."""
     source = docs.sparkSession.sparkContext.broadcast(read_source(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = worker_model(source.value)
-        packed = lambda ids: np.array(ids, "<u4").tobytes()
-        cache = UnitCache(lambda unit: packed(model.encode_unit(unit)))
-        end = packed([end_id])
+        cache = kept_in_worker(("packed", hash(source.value)), lambda: WordCache(model, _packed_ids(model)))
+        end = _packed([end_id])
         for batch in arrow_text.slices(batches):
             out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
-            for doc, text in zip(arrow_text.column(batch, "doc_id").to_pylist(), arrow_text.column(batch, "text").to_pylist(), strict=True):
-                ids = b"".join([packed([special]) if special is not None else b"".join(map(cache.__getitem__, model.units(s))) for s, special in model.segments(text)] + [end])
+            for doc, stretches in zip(arrow_text.column(batch, "doc_id").to_pylist(), cache.cut(arrow_text.column(batch, "text").to_pylist()), strict=True):
+                ids = b"".join([_packed([special]) if special is not None else b"".join(map(cache.__getitem__, words)) for words, special in stretches] + [end])
                 n = len(ids) // 4
                 starts = [0, *range((n - 1) % capacity + 1, n, capacity)]
                 for k, (a, b) in enumerate(zip(starts, [*starts[1:], n], strict=True)):

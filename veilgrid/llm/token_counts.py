@@ -12,12 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from . import arrow_text
-from .bpe import Model, UnitCache, read_source, worker_model
+from .bpe import ALPHABET, Model, WordCache, kept_in_worker, read_source, worker_model
 from .storage import id_and_text
 
 _PROVEN: dict[str, frozenset[int]] = {}
@@ -28,23 +29,25 @@ def proven_whole(path: str) -> frozenset[int]:
     if path not in _PROVEN:
         model = worker_model(read_source(path))
         cut = len(model.suffix)
-        alone = ((w[:-cut] if cut else w, i) for w, i in model.vocab.items() if not cut or w.endswith(model.suffix))
-        _PROVEN[path] = frozenset(i for w, i in alone if w and model.encode_word(w) == [i])
+        strings = [w for w in model.vocab if not cut or w.endswith(model.suffix)]
+        ids, counts = model.encode_words([f"\0{w[: len(w) - cut]}" for w in strings])
+        first = ids[np.cumsum(counts) - counts] if strings else ids
+        _PROVEN[path] = frozenset(i for i, n, got in zip((model.vocab[w] for w in strings), counts.tolist(), first.tolist(), strict=True) if n == 1 and got == i)
     return _PROVEN[path]
 
 
-class Counter:
-    def __init__(self, model: Model, whole: frozenset[int]) -> None:
-        self.model = model
-        cut = len(model.suffix)
-        self.whole = {w[: len(w) - cut] for w, i in model.vocab.items() if i in whole}
-        self.units = UnitCache(self.of_unit)
+def _counts(model: Model, whole: frozenset[int]):
+    cut = len(model.suffix)
+    alone = {w[: len(w) - cut] for w, i in model.vocab.items() if i in whole}
+    table = str.maketrans({chr(b): c for b, c in enumerate(ALPHABET)})
+    spelled = lambda w: w[1:] if w[:1] == "\0" else w.translate(table) if w.isascii() else model.raw(w).decode("latin-1").translate(table)
 
-    def of_unit(self, unit: str) -> int:
-        return sum(1 if w in self.whole else len(self.model.encode_word(w)) for w in self.model.pretokens(unit))
+    def make(words: list[str]) -> list[int]:
+        merged = [w for w in words if spelled(w) not in alone]
+        counts = dict(zip(merged, model.encode_words(merged)[1].tolist(), strict=True))
+        return [counts.get(w, 1) for w in words]
 
-    def of_text(self, text: str) -> int:
-        return sum(1 if special is not None else sum(map(self.units.__getitem__, self.model.units(s))) for s, special in self.model.segments(text))
+    return make
 
 
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -53,10 +56,12 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source, whole = known.value
-        counter = Counter(worker_model(source), whole)
+        model = worker_model(source)
+        cache = kept_in_worker(("counts", hash(source)), lambda: WordCache(model, _counts(model, whole)))
         for batch in arrow_text.slices(batches):
             texts = arrow_text.column(batch, "text")
-            counts = pa.array(map(counter.of_text, texts.to_pylist()), pa.int64())
+            cut = cache.cut(texts.to_pylist())
+            counts = pa.array([sum(1 if special is not None else sum(map(cache.__getitem__, words)) for words, special in stretches) for stretches in cut], pa.int64())
             yield pa.record_batch([arrow_text.column(batch, "doc_id"), pc.binary_length(texts).cast(pa.int64()), counts, pc.greater(counts, limit)], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
