@@ -24,22 +24,19 @@ from pyspark.sql import functions as F
 from .storage import stage_table
 from .text_stats import text_stats
 
-_w = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
-_c = F.greatest(F.col("word_chars"), F.lit(1)).cast("double")
-FEATURES: dict[str, Column] = {
-    "size": F.log1p(F.col("n_words").cast("double")),
-    "word_length": F.log1p(F.col("word_chars") / _w),
-    "symbols": F.sqrt(F.col("n_symbols") / _c),
-    "copied_lines": F.sqrt(F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))),
-    "repeats": F.sqrt(F.col("n_repeat_words") / _w),
-    "distinct": F.col("n_distinct_words") / _w,
-    "function_words": F.sqrt(F.col("n_function_words") / _w),
-    "figures": F.sqrt(F.col("n_digits") / _c),
-    "capitals": F.sqrt(F.col("n_upper") / F.greatest(F.col("n_letters"), F.lit(1))),
-    "stops": F.sqrt(F.col("n_stops") / _w),
-    "exclaims": F.sqrt(F.col("n_exclaims") / _w),
-}
-NAMES = list(FEATURES)
+NAMES = ["size", "word_length", "symbols", "copied_lines", "repeats", "distinct", "function_words", "figures", "capitals", "stops", "exclaims"]
+
+
+def features() -> list[Column]:
+    """In the order of ``NAMES``: shares of the counts, with roots and logarithms against their skew."""
+    words, characters = (F.greatest(F.col(c), F.lit(1)) for c in ("n_words", "word_chars"))
+    root = lambda count, of: F.sqrt(F.col(count) / of)
+    values = [
+        F.log1p(F.col("n_words").cast("double")), F.log1p(F.col("word_chars") / words), root("n_symbols", characters), root("n_dup_lines", F.greatest(F.col("n_lines"), F.lit(1))),
+        root("n_repeat_words", words), F.col("n_distinct_words") / words, root("n_function_words", words), root("n_digits", characters),
+        root("n_upper", F.greatest(F.col("n_letters"), F.lit(1))), root("n_stops", words), root("n_exclaims", words),
+    ]
+    return [v.cast("double").alias(n) for n, v in zip(NAMES, values, strict=True)]
 
 
 def fold(id_col: str = "doc_id", folds: int = 3) -> Column:
@@ -93,7 +90,7 @@ def moments_of(rows: DataFrame, label: str) -> dict[int, tuple[float, np.ndarray
 
 def score_quality(docs: DataFrame, labels: DataFrame, pooled_share: float = 0.2, identity_share: float = 0.05, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted. Labels of held-out rows (fold 1 of 3) are never read."""
-    stats = text_stats(docs, id_col, text_col).select("doc_id", *(f.cast("double").alias(n) for n, f in FEATURES.items()))
+    stats = text_stats(docs, id_col, text_col).select("doc_id", *features())
     stats = stage_table(stats, "features")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
     known = known.filter("quality is not null and doc_id is not null").filter(fold() != 1)

@@ -18,26 +18,24 @@ from pyspark.sql import functions as F
 from .storage import stage_table
 from .text_stats import text_stats
 
-_words = F.greatest(F.col("n_words"), F.lit(1))
-_lines = F.greatest(F.col("n_lines"), F.lit(1))
-
-
-def _vote(share: Column, good_to: float, bad_from: float) -> Column:
-    """Good up to one bound, bad from another on, no vote between."""
-    return F.when(share <= good_to, 1).when(share >= bad_from, -1).otherwise(0)
-
-
-RULES: dict[str, Column] = {
-    "symbols": _vote(F.col("n_symbols") / _words, 0.02, 0.3),
-    "repeats": _vote(F.col("n_repeat_words") / _words, 0.1, 0.3),
-    "copied_lines": _vote(F.col("n_dup_lines") / _lines, 0.15, 0.4),
-    "capitals": _vote(F.col("n_upper") / F.greatest(F.col("n_letters"), F.lit(1)), 0.2, 0.5),
-    "exclamations": _vote(F.col("n_exclaims") / _words, 0.02, 0.3),
-    "function_words": F.when(F.col("n_words") < 20, 0).otherwise(_vote(-F.col("n_function_words") / _words, -0.1, -0.02)),
-    "word_length": F.when(F.col("n_words") == 0, 0).otherwise(_vote(F.abs(F.col("word_chars") / _words - 6.0), 3.0, 6.0)),
-    "figures": _vote(F.col("n_digits") / F.greatest(F.col("word_chars"), F.lit(1)), 0.1, 0.3),
-    "length": F.when(F.col("n_words") < 20, -1).otherwise(F.when(F.col("n_words") >= 40, 1).otherwise(0)),
-}
+#: How often a rule may call a good document bad, as a prior that weighs as much as the corpus. Without it the fit may
+#: take the commonest sort of junk for the bad class and leave the other sorts to the good one.
+FALSE_ALARMS = 0.005
+RULES = ("symbols", "repeats", "copied_lines", "capitals", "exclamations", "function_words", "word_length", "figures")
+
+
+def votes() -> list[Column]:
+    """In the order of ``RULES``: -1, 0 or 1. Only a trait of good prose votes for good; the lack of a fault abstains."""
+    words, letters, lines, characters = (F.greatest(F.col(c), F.lit(1)) for c in ("n_words", "n_letters", "n_lines", "word_chars"))
+    against = lambda fault: F.when((F.col("n_words") >= 20) & fault, -1).otherwise(0)
+    either = lambda good, bad: F.when(F.col("n_words") < 20, 0).when(good, 1).when(bad, -1).otherwise(0)
+    share = lambda c, of: F.col(c) / of
+    each = [
+        either(share("n_symbols", words) <= 0.02, share("n_symbols", words) >= 0.3), against(share("n_repeat_words", words) >= 0.3), against(share("n_dup_lines", lines) >= 0.4),
+        against(share("n_upper", letters) >= 0.5), against(share("n_exclaims", words) >= 0.3), either(share("n_function_words", words) >= 0.03, share("n_function_words", words) <= 0.005),
+        against(F.abs(share("word_chars", words) - 6.0) >= 6.0), against(share("n_digits", characters) >= 0.3),
+    ]
+    return [v.cast("int").alias(f"vote_{r}") for r, v in zip(RULES, each, strict=True)]
 
 
 class LabelModel:
@@ -47,18 +45,22 @@ class LabelModel:
         self.prior_good, self.chance = prior_good, chance  # chance[class, rule, vote + 1]; class 1 is good
 
     @classmethod
-    def fit(cls, votes: np.ndarray, weight: np.ndarray, rounds: int = 200) -> LabelModel:
+    def fit(cls, votes: np.ndarray, weight: np.ndarray, rounds: int = 200, false_alarms: float = FALSE_ALARMS) -> LabelModel:
         """Expectation-maximisation from the majority vote. votes: a row per pattern; weight: its documents."""
-        n_rules = votes.shape[1]
         onehot = (votes[:, :, None] == np.array([-1, 0, 1])).astype(float)
-        good = 1 / (1 + np.exp(-votes.sum(axis=1, dtype=float)))
-        model = cls(0.8, np.full((2, n_rules, 3), 1 / 3))
+        total = weight.sum()
+        good = 1 / (1 + np.exp(-(votes.sum(axis=1, dtype=float) + 0.5)))
+        model = cls(0.8, np.full((2, votes.shape[1], 3), 1 / 3))
         for _ in range(rounds):
             before = good
             for k, belief in enumerate((1 - good, good)):
                 mass = np.einsum("p,prv->rv", weight * belief, onehot) + 1.0
                 model.chance[k] = mass / mass.sum(axis=1, keepdims=True)
-            model.prior_good = float((weight @ good + 1) / (weight.sum() + 2))
+                if k == 1:
+                    alarm = (mass[:, 0] + total * false_alarms) / (mass.sum(axis=1) + total)
+                    rest = mass[:, 1:] / mass[:, 1:].sum(axis=1, keepdims=True)
+                    model.chance[k] = np.column_stack([alarm, (1 - alarm)[:, None] * rest])
+            model.prior_good = float((weight @ good + 1) / (total + 2))
             good = model.posterior(votes)
             if np.abs(good - before).max(initial=0) < 1e-9:
                 break
@@ -81,7 +83,7 @@ def base_failed(min_words: int, repeat_percent: int) -> Column:
 def quality_rules(docs: DataFrame, min_words: int = 20, repeat_percent: int = 30, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, posterior."""
     stats = stage_table(text_stats(docs, id_col, text_col), "stats")
-    voted = stats.select("*", *(v.cast("int").alias(f"vote_{r}") for r, v in RULES.items()))
+    voted = stats.select("*", *votes())
     columns = [f"vote_{r}" for r in RULES]
     patterns = voted.groupBy(*columns).count().collect()  # at most 3 ** len(RULES) rows
     posterior: Column = F.lit(0.0)

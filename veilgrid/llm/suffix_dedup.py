@@ -223,7 +223,7 @@ def induce(core: np.ndarray, forward: np.ndarray, sizes: np.ndarray, left: np.nd
         if not stay.size:
             break
         if stay.size < item.size:
-            common = np.minimum.reduceat(common, np.concatenate([[0], stay[:-1] + 1])) if stay.size else common[:0]
+            common = np.minimum.reduceat(common[: stay[-1] + 1], np.concatenate([[0], stay[:-1] + 1]))
             item, group = item[stay], group[stay]
         byte = left[item, d].astype(np.int64)
         mixed = (group[1:] == group[:-1]) & (byte[1:] != byte[:-1])
