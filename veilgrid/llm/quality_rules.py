@@ -21,6 +21,8 @@ from .text_stats import text_stats
 #: How often a rule may call a good document bad, as a prior that weighs as much as the corpus. Without it the fit may
 #: take the commonest sort of junk for the bad class and leave the other sorts to the good one.
 FALSE_ALARMS = 0.005
+#: Share of the corpus added to every count, so that no single vote or abstention settles a document.
+SMOOTHING = 0.01
 RULES = ("symbols", "repeats", "copied_lines", "capitals", "exclamations", "function_words", "word_length", "figures")
 
 
@@ -32,7 +34,7 @@ def votes() -> list[Column]:
     share = lambda c, of: F.col(c) / of
     each = [
         either(share("n_symbols", words) <= 0.02, share("n_symbols", words) >= 0.3), against(share("n_repeat_words", words) >= 0.3), against(share("n_dup_lines", lines) >= 0.4),
-        against(share("n_upper", letters) >= 0.5), against(share("n_exclaims", words) >= 0.3), either(share("n_function_words", words) >= 0.03, share("n_function_words", words) <= 0.005),
+        against(share("n_upper", letters) >= 0.5), against(share("n_exclaims", words) >= 0.3), either(share("n_function_words", words) >= 0.1, share("n_function_words", words) <= 0.005),
         against(F.abs(share("word_chars", words) - 6.0) >= 6.0), against(share("n_digits", characters) >= 0.3),
     ]
     return [v.cast("int").alias(f"vote_{r}") for r, v in zip(RULES, each, strict=True)]
@@ -54,7 +56,7 @@ class LabelModel:
         for _ in range(rounds):
             before = good
             for k, belief in enumerate((1 - good, good)):
-                mass = np.einsum("p,prv->rv", weight * belief, onehot) + 1.0
+                mass = np.einsum("p,prv->rv", weight * belief, onehot) + 1 + SMOOTHING * total
                 model.chance[k] = mass / mass.sum(axis=1, keepdims=True)
                 if k == 1:
                     alarm = (mass[:, 0] + total * false_alarms) / (mass.sum(axis=1) + total)
