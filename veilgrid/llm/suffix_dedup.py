@@ -21,7 +21,8 @@ positions from the sorted samples. The levels here are:
    ones. At distance d, a position starts a repeated string if it shares ``length - d`` bytes with a neighbour.
 
 A name with more than ``HOT_CONTEXTS`` different contexts (the rim of a passage that a large part of the corpus
-holds) is not sorted in one task: its strings are counted one by one, by 128-bit hash, with partial aggregation.
+holds) is not sorted in one task: its contexts are named again over ever narrower ranges of distances, until every
+range has a unique name or a single context (:func:`_repeated_in_hot`).
 Names and contexts are joined on 128 bits of hash; a name that collides costs work and no correctness.
 
 Defined results: a null text is the empty text; texts shorter than ``length`` are never changed; repeated rows (same id
@@ -286,28 +287,48 @@ def _sort_shard(length: int):
     return run
 
 
-def _single_strings(length: int):
-    """Every string of the contexts of hot names: core, context, d, copies and the string's hash."""
+def _narrower(length: int, width: int):
+    """Contexts of hot names cut into ranges of at most ``width`` distances, each with the name of what all of its
+    strings share and the hash of its own context: core, context, copies, low, high, n1, n2, own, data."""
+    names = ["core", "context", "copies", "low", "high", "n1", "n2", "own", "data"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            columns = (arrow_text.column(batch, c).to_pylist() for c in ("core", "context", "copies", "most", "least", "data"))
-            for core, context, copies, most, least, data in zip(*columns, strict=True):
-                for d in range(least, most + 1):
-                    high, low = np.frombuffer(xxhash.xxh3_128_digest(data[most - d : most - d + length]), ">i8").tolist()
-                    for column, value in zip(out, (core, context, d, copies, high, low), strict=True):
+        for batch in arrow_text.slices(batches, "data"):
+            out: list[list] = [[] for _ in names]
+            columns = (arrow_text.column(batch, c).to_pylist() for c in ("core", "context", "copies", "low", "high", "data"))
+            for core, context, copies, low, high, data in zip(*columns, strict=True):
+                for begin in range(low - low % width, high + 1, width):
+                    near, far = max(low, begin), min(high, begin + width - 1)
+                    part = data[high - far : high - near + length]
+                    # Shared by all strings of the whole range, of which a context may hold a part.
+                    shared = xxhash.xxh3_128_digest(part[far - begin : far - begin - width + 1 + length], begin)
+                    n1, n2 = np.frombuffer(shared, ">i8").tolist()
+                    own = xxhash.xxh3_64_intdigest(part, near << 16 | far) - (1 << 63)
+                    for column, value in zip(out, (core, context, copies, near, far, n1, n2, own, part), strict=True):
                         column.append(value)
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=["core", "context", "d", "copies", "high", "low"])
+            yield pa.record_batch([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=names)
 
     return run
 
 
 def _repeated_in_hot(contexts: DataFrame, length: int) -> DataFrame:
-    strings = stage_table(contexts.filter("hot").mapInArrow(_single_strings(length), "core long, context long, d int, copies long, high long, low long"), "strings")
-    often = stage_table(strings.groupBy("high", "low").agg(F.sum("copies").alias("n")).filter("n > 1").select("high", "low"), "repeated")
-    return strings.join(often, ["high", "low"]).select("core", "context", F.array(F.struct(F.col("d").alias("low"), F.col("d").alias("high"))).alias("runs"))
+    """The recursion for hot names, whose contexts differ too often for one task: ranges of distances get narrower,
+    names of what their strings share get longer, and each round settles the ranges whose name is unique or stands for
+    one context. What is left differs within the range; a range of one distance is its own name, so the last round
+    settles all. Names are counted with partial aggregation."""
+    schema = "core long, context long, copies long, low int, high int, n1 long, n2 long, own long, data binary"
+    left = contexts.filter("hot").select("core", "context", "copies", F.col("least").alias("low"), F.col("most").alias("high"), "data")
+    runs = None
+    for width in (32, 8, 2, 1):
+        ranges = stage_table(left.mapInArrow(_narrower(length, width), schema), f"ranges{width}")
+        often = ranges.groupBy("n1", "n2").agg(F.sum("copies").alias("n"), (F.min("own") == F.max("own")).alias("settled")).filter("n > 1").select("n1", "n2", "settled")
+        often = stage_table(often, f"names{width}")
+        own = ranges.select("core", "context", "low", "high", "n1", "n2").join(often.filter("settled"), ["n1", "n2"])
+        own = own.select("core", "context", F.array(F.struct("low", "high")).alias("runs"))
+        runs = own if runs is None else runs.unionAll(own)
+        left = ranges.join(often.filter("not settled"), ["n1", "n2"]).select("core", "context", "copies", "low", "high", "data")
+    return runs
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -332,9 +353,9 @@ def repeated_runs(rows: DataFrame, length: int = 400) -> DataFrame:
     cut = stage_table(cut.mapInArrow(_cut_contexts(length), "core long, context long, copies long, most int, least int, hot boolean, data binary"), "cut")
     dealt = cut.filter("not hot").drop("hot").repartition(F.col("core"))
     runs = alone.unionAll(dealt.mapInArrow(_sort_shard(length), "core long, context long, runs array<struct<low:int,high:int>>"))
-    if not cut.filter("hot").isEmpty():
-        runs = runs.unionAll(_repeated_in_hot(cut, length))
     runs = stage_table(runs, "runs")
+    if not cut.filter("hot").isEmpty():
+        runs = runs.unionAll(stage_table(_repeated_in_hot(cut, length), "hot-runs"))
     spans = members.join(runs, ["core", "context"]).select("row", "p", F.explode("runs").alias("r"))
     spans = spans.select("row", F.struct((F.col("p") - F.col("r.high")).alias("start"), (F.col("p") - F.col("r.low") + length).alias("end")).alias("s"))
     return spans.groupBy("row").agg(F.collect_list("s").alias("spans"))
