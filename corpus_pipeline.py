@@ -41,7 +41,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the first row stays: the row that its component is named after."""
-    groups = simhash.near_duplicates(_numbered(docs))
+    groups = simhash.near_copies(_numbered(docs), words_each=5, similarity=0.8)
     return _kept(docs, groups.filter("doc_id = component_id").select(F.col("doc_id").alias("row")))
 
 

@@ -8,6 +8,13 @@ the one before it, which keeps every component whole without writing out all pai
 verified and contracted to components by alternating star operations, all as tables; nothing but a sum comes to the
 driver. Copies collapse to one fingerprint before any variant is made, so a large group of copies is one node.
 
+:func:`near_copies` is the form for a similarity threshold, where near copies differ in far more than a few bits of one
+fingerprint. It makes ``WIDE`` further fingerprints of each text, cuts ``TABLES`` short codes from them and hashes the balls
+of radius 1 around each code: codes within two bits meet, and near copies do in at least one of several codes. A text is
+paired with three others of each ball, not with all. Pairs are screened by the bits in which their fingerprints differ,
+which estimate the angle between the shingle sets, and what is left is verified on the shingle sets themselves. Codes of ``CODE_BITS`` bits keep chance meetings rare up to about 2 ** (CODE_BITS - 8) distinct texts;
+a corpus a thousand times larger takes ten bits more and, for the same recall, more tables.
+
 Defined results: a null text is the empty text; a text without words has fingerprint zero and is linked like any other;
 repeated rows are returned once each; a null id stays null and names no component unless all ids of it are null; an
 empty table gives an empty table; other columns are ignored. Whole texts are hashed, whatever their length.
@@ -15,6 +22,7 @@ empty table gives an empty table; other columns are ignored. Whole texts are has
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -66,21 +74,28 @@ def shingle_hashes(text: bytes, words_each: int) -> list[int]:
     return [of(joined[a:b], SEED) for a, b in zip(begin, stop[k - 1 :].tolist(), strict=True)]
 
 
-def fingerprints(docs: DataFrame, words_each: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, bits (the fingerprint as a signed long)."""
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hashes as of another function: the k-th stream of a finaliser over them. k = 0 leaves them as they are."""
+    if k == 0:
+        return hashes
+    h = hashes + np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(31))
+
+
+def fingerprints(docs: DataFrame, words_each: int = 3, id_col: str = "doc_id", text_col: str = "text", further: int = 0) -> DataFrame:
+    """doc_id, bits (the fingerprint as a signed long), and w0, w1, ... for ``further`` fingerprints of other hashes."""
+    names = ["bits", *(f"w{k}" for k in range(further))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_text.slices(batches):
-            hashes, ends = [], []
-            parts = []
-            for text in arrow_text.column(batch, "text"):
-                hashes = shingle_hashes(text.as_buffer().to_pybytes(), words_each)
-                parts.append(np.array(hashes, np.uint64))
-                ends.append(len(hashes))
-            found = majority_bits(np.concatenate(parts), np.cumsum(ends))
-            yield pa.record_batch([arrow_text.column(batch, "doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "bits"])
+            parts = [np.array(shingle_hashes(t.as_buffer().to_pybytes(), words_each), np.uint64) for t in arrow_text.column(batch, "text")]
+            hashes, ends = np.concatenate(parts), np.cumsum([p.size for p in parts])
+            found = [pa.array(majority_bits(_mixed(hashes, k), ends).view(np.int64)) for k in range(len(names))]
+            yield pa.record_batch([arrow_text.column(batch, "doc_id"), *found], names=["doc_id", *names])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, bits long")
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
 
 
 def ball_masks(radius: int) -> list[int]:
@@ -137,14 +152,81 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
+def _named(prints: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, bits, component_id from doc_id and bits, the distinct bits with their least id, and links between bits."""
+    stars = components(stage_table(found, "links"))
+    rooted = nodes.select("bits", "low").join(stars.select(F.col("a").alias("bits"), F.col("b").alias("root")), "bits", "left").select("bits", "low", F.coalesce("root", "bits").alias("root"))
+    rooted = stage_table(rooted, "rooted")
+    named = stage_table(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "roots")
+    of_bits = stage_table(rooted.join(named, "root").select("bits", "component_id"), "classes")
+    return prints.select("doc_id", "bits").join(of_bits, "bits")
+
+
 def near_duplicates(docs: DataFrame, words_each: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id (smallest doc_id of the component)."""
     prints = stage_table(fingerprints(docs, words_each, id_col, text_col), "fingerprints")
     nodes = stage_table(prints.groupBy("bits").agg(F.min("doc_id").alias("low")), "nodes")
-    stars = components(stage_table(links(nodes, radius), "links"))
-    rooted = nodes.join(stars.select(F.col("a").alias("bits"), F.col("b").alias("root")), "bits", "left").select("bits", "low", F.coalesce("root", "bits").alias("root"))
-    rooted = stage_table(rooted, "rooted")
-    named = stage_table(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "roots")
-    of_bits = stage_table(rooted.join(named, "root").select("bits", "component_id"), "classes")
-    out = prints.join(of_bits, "bits")
+    out = _named(prints, nodes, links(nodes, radius))
     return out.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+WIDE, CODE_BITS = 5, 28
+TABLES = 2 * WIDE
+
+
+def chance_of_differing(similarity: float) -> float:
+    """How likely a bit differs between two sets of equal size and this Jaccard similarity."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def _bound(similarity: float, bits: int, deviations: float) -> int:
+    p = chance_of_differing(similarity)
+    return math.floor(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
+
+
+def near_copies(docs: DataFrame, words_each: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, component_id: groups of texts linked by a Jaccard similarity of their shingle sets of ``similarity`` or more."""
+    wide = [f"w{k}" for k in range(WIDE)]
+    prints = stage_table(fingerprints(docs, words_each, id_col, text_col, further=WIDE), "fingerprints")
+    nodes = stage_table(prints.groupBy("bits").agg(F.min("doc_id").alias("low"), F.min(F.struct(*wide)).alias("w")).select("bits", "low", "w.*"), "nodes")
+    # A code is the lower or upper 28 of 60 bits of a further fingerprint; its table number stands above it.
+    codes = [F.shiftrightunsigned(w, 32 * half).bitwiseAND(F.lit((1 << CODE_BITS) - 1).cast("long")) + F.lit((2 * k + half) << 32).cast("long") for k, w in enumerate(wide) for half in (0, 1)]
+    masks = [0, *(1 << b for b in range(CODE_BITS))]
+    met = nodes.select("bits", F.explode(F.array(*[c.bitwiseXOR(F.lit(m).cast("long")) for c in codes for m in masks])).alias("variant"))
+    order = Window.partitionBy("variant").orderBy("bits")
+    others = F.array_distinct(F.array_compact(F.array(F.lag("bits", 1).over(order), F.lag("bits", 2).over(order), F.first("bits").over(order))))
+    differing = lambda a, b: F.bit_count(a.bitwiseXOR(b))
+    pairs = met.select("bits", others.alias("others")).filter("size(others) > 1 or others[0] <> bits").select(F.explode("others").alias("a"), F.col("bits").alias("b")).filter("a < b")
+    pairs = stage_table(pairs.filter(differing(F.col("a"), F.col("b")) <= _bound(similarity, 64, 3.3)).distinct(), "met")
+    side = lambda n: nodes.select(F.col("bits").alias(n), *(F.col(w).alias(f"{n}_{w}") for w in wide))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    apart = sum(differing(F.col(f"a_{w}"), F.col(f"b_{w}")) for w in wide)
+    close = stage_table(both.filter(apart <= _bound(similarity, 64 * WIDE, 3.0)).select("a", "b"), "close")
+    # The few texts that are left are compared as they are: one text for each fingerprint.
+    asked = stage_table(close.select(F.col("a").alias("bits")).unionAll(close.select("b")).distinct().join(nodes.select("bits", "low"), "bits"), "asked")
+    texts = id_and_text(docs, id_col, text_col).join(asked.withColumnRenamed("low", "doc_id"), "doc_id").groupBy("bits").agg(F.min("text").alias("text"))
+    texts = stage_table(texts, "texts")
+    told = close.join(texts.select(F.col("bits").alias("a"), F.col("text").alias("a_text")), "a").join(texts.select(F.col("bits").alias("b"), F.col("text").alias("b_text")), "b")
+    return _named(prints, nodes, told.mapInArrow(_alike(words_each, similarity), "a long, b long")).select("doc_id", "component_id")
+
+
+def shingle_set(text: bytes, words_each: int) -> set[int]:
+    return set(shingle_hashes(text, words_each))
+
+
+def _alike(words_each: int, similarity: float):
+    """The pairs whose shingle sets have at least ``similarity`` (Jaccard) in common."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow_text.slices(batches, "a_text"):
+            kept = []
+            last, one = None, set()
+            for a, b, left, right in zip(*(arrow_text.column(batch, c).to_pylist() for c in ("a", "b", "a_text", "b_text")), strict=True):
+                if a != last:
+                    last, one = a, shingle_set(left.encode(), words_each)
+                two = shingle_set(right.encode(), words_each)
+                if len(one & two) >= similarity * len(one | two):
+                    kept.append((a, b))
+            yield pa.record_batch([pa.array([x for x, _ in kept], pa.int64()), pa.array([x for _, x in kept], pa.int64())], names=["a", "b"])
+
+    return run
