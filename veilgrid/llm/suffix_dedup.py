@@ -27,8 +27,8 @@ Names and contexts are joined on 128 bits of hash; a name that collides costs wo
 
 Defined results: a null text is the empty text; texts shorter than ``length`` are never changed; repeated rows (same id
 or not) are separate documents and hence repeats of each other; a null id stays null; an empty table gives an empty
-table; other columns are ignored by :func:`repeated_spans`. Spans never cross documents. The input must read the same
-when it is read again (a table, not a random expression), since rows are keyed by their place in it.
+table; other columns are ignored. Spans never cross documents. A row is known by its id and the hash of its text, so
+the input may come in another order each time it is read; rows equal in both have equal results.
 """
 
 from __future__ import annotations
@@ -84,7 +84,7 @@ def samples(text: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndar
 def _samples_of(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     core_bytes = length - SPAN + 1
     hash64 = xxhash.xxh3_64_intdigest
-    names = ["core", "context", "row", "p", "most", "least"]
+    names = ["core", "context", "k1", "k2", "p", "most", "least"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[list[np.ndarray]] = []
@@ -96,7 +96,7 @@ def _samples_of(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
             return pa.record_batch([pa.array(a) for a in arrays], names=names)
 
         for batch in arrow_text.slices(batches):
-            for row, text in zip(arrow_text.column(batch, "row").to_pylist(), arrow_text.column(batch, "text"), strict=True):
+            for k1, k2, text in zip(arrow_text.column(batch, "k1").to_pylist(), arrow_text.column(batch, "k2").to_pylist(), arrow_text.column(batch, "text"), strict=True):
                 data = text.as_buffer()
                 if data is None or data.size < length:
                     continue
@@ -105,7 +105,7 @@ def _samples_of(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
                     most, least = p - first, p - last
                     core = np.array([hash64(view[x : x + core_bytes]) for x in p.tolist()], np.uint64).view(np.int64)
                     context = [hash64(view[a : b + length], s) for a, b, s in zip(first.tolist(), last.tolist(), (most << 16 | least).tolist(), strict=True)]
-                    kept.append([core, np.array(context, np.uint64).view(np.int64), np.full(p.size, row, np.int64), p.astype(np.int64), most.astype(np.int32), least.astype(np.int32)])
+                    kept.append([core, np.array(context, np.uint64).view(np.int64), np.full(p.size, k1, np.int64), np.full(p.size, k2, np.int64), p.astype(np.int64), most.astype(np.int32), least.astype(np.int32)])
                     held += p.size
                 if held >= 50_000:
                     yield flush()
@@ -277,6 +277,8 @@ def _sort_shard(length: int):
                 queue.push(core.to_bytes(8, "big", signed=True) + data[most:], (context, copies, most, least, data[:most]))
         entries: list[tuple] = []
         for entry in queue.drain():
+            if entries and entry == entries[-1]:
+                continue  # the same context, cut from rows that are equal in id and text
             if len(entries) >= INDUCED_AT_ONCE and entry[0][:8] != entries[-1][0][:8]:
                 yield block(entries)
                 entries = []
@@ -318,7 +320,7 @@ def _repeated_in_hot(contexts: DataFrame, length: int) -> DataFrame:
     one context. What is left differs within the range; a range of one distance is its own name, so the last round
     settles all. Names are counted with partial aggregation."""
     schema = "core long, context long, copies long, low int, high int, n1 long, n2 long, own long, data binary"
-    left = contexts.filter("hot").select("core", "context", "copies", F.col("least").alias("low"), F.col("most").alias("high"), "data")
+    left = contexts.select("core", "context", "copies", F.col("least").alias("low"), F.col("most").alias("high"), "data")
     runs = None
     for width in (32, 8, 2, 1):
         ranges = stage_table(left.mapInArrow(_narrower(length, width), schema), f"ranges{width}")
@@ -332,33 +334,37 @@ def _repeated_in_hot(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, doc_id, text: each input row under a number that is its place in the input."""
-    return id_and_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    """k1, k2, doc_id, text: each row under its id (a stand-in where it is null) and the hash of its text."""
+    return id_and_text(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k1"), F.xxhash64("text").alias("k2"), "doc_id", "text")
+
+
+KEY = ["k1", "k2"]
 
 
 def repeated_runs(rows: DataFrame, length: int = 400) -> DataFrame:
-    """row, spans array<struct<start,end>>: where the documents of :func:`keyed` hold repeated strings; unmerged, in any order."""
+    """k1, k2, spans array<struct<start,end>>: where the documents of :func:`keyed` hold repeated strings; unmerged, in any order."""
     if length < SPAN + GRAM:
         raise ValueError(f"length must be at least {SPAN + GRAM}")
-    sample = stage_table(rows.select("row", "text").mapInArrow(_samples_of(length), "core long, context long, row long, p long, most int, least int"), "samples")
+    sample = stage_table(rows.select(*KEY, "text").mapInArrow(_samples_of(length), "core long, context long, k1 long, k2 long, p long, most int, least int"), "samples")
     names = stage_table(sample.groupBy("core").count().filter("count > 1").select("core"), "names")
     members = stage_table(sample.join(names, "core"), "members")
-    contexts = members.groupBy("core", "context").agg(F.count("*").alias("copies"), F.min(F.struct("row", "p", "most", "least")).alias("at"))
+    contexts = members.groupBy("core", "context").agg(F.count("*").alias("copies"), F.min(F.struct(*KEY, "p", "most", "least")).alias("at"))
     contexts = stage_table(contexts.select("core", "context", "copies", "at.*"), "contexts")
     kinds = stage_table(contexts.groupBy("core").agg(F.count("*").alias("kinds")), "kinds")
     contexts = stage_table(contexts.join(kinds, "core"), "named")
     alone = contexts.filter("kinds = 1").select("core", "context", F.array(F.struct(F.col("least").alias("low"), F.col("most").alias("high"))).alias("runs"))
-    asked = contexts.filter("kinds > 1").groupBy("row").agg(F.collect_list(F.struct("core", "context", "copies", "p", "most", "least", (F.col("kinds") > HOT_CONTEXTS).alias("hot"))).alias("asked"))
-    cut = rows.select("row", "text").join(asked, "row").select("text", "asked")
+    asked = contexts.filter("kinds > 1").groupBy(*KEY).agg(F.collect_list(F.struct("core", "context", "copies", "p", "most", "least", (F.col("kinds") > HOT_CONTEXTS).alias("hot"))).alias("asked"))
+    cut = rows.select(*KEY, "text").join(asked, KEY).select("text", "asked")
     cut = stage_table(cut.mapInArrow(_cut_contexts(length), "core long, context long, copies long, most int, least int, hot boolean, data binary"), "cut")
     dealt = cut.filter("not hot").drop("hot").repartition(F.col("core"))
     runs = alone.unionAll(dealt.mapInArrow(_sort_shard(length), "core long, context long, runs array<struct<low:int,high:int>>"))
     runs = stage_table(runs, "runs")
-    if not cut.filter("hot").isEmpty():
-        runs = runs.unionAll(stage_table(_repeated_in_hot(cut, length), "hot-runs"))
-    spans = members.join(runs, ["core", "context"]).select("row", "p", F.explode("runs").alias("r"))
-    spans = spans.select("row", F.struct((F.col("p") - F.col("r.high")).alias("start"), (F.col("p") - F.col("r.low") + length).alias("end")).alias("s"))
-    return spans.groupBy("row").agg(F.collect_list("s").alias("spans"))
+    hot = cut.filter("hot")
+    if not hot.isEmpty():
+        runs = runs.unionAll(stage_table(_repeated_in_hot(hot.dropDuplicates(["core", "context"]), length), "hot-runs"))
+    spans = members.join(runs, ["core", "context"]).select(*KEY, "p", F.explode("runs").alias("r"))
+    spans = spans.select(*KEY, F.struct((F.col("p") - F.col("r.high")).alias("start"), (F.col("p") - F.col("r.low") + length).alias("end")).alias("s"))
+    return spans.groupBy(*KEY).agg(F.collect_set("s").alias("spans"))
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -374,7 +380,7 @@ def _removals(emit: Callable, names: list[str], types: list[pa.DataType]):
         for batch in arrow_text.slices(batches):
             out: list[list] = [[] for _ in names]
             spans = arrow_text.column(batch, "spans")
-            for k, (row, doc, text) in enumerate(zip(arrow_text.column(batch, "row").to_pylist(), arrow_text.column(batch, "doc_id").to_pylist(), arrow_text.column(batch, "text"), strict=True)):
+            for k, (doc, text) in enumerate(zip(arrow_text.column(batch, "doc_id").to_pylist(), arrow_text.column(batch, "text"), strict=True)):
                 data = text.as_buffer()
                 data = b"" if data is None else data.to_pybytes()
                 if spans[k].is_valid:
@@ -382,7 +388,7 @@ def _removals(emit: Callable, names: list[str], types: list[pa.DataType]):
                     runs = list(zip(starts.tolist(), ends.tolist(), strict=True))
                 else:
                     runs = []
-                for column, value in zip(out, emit(row, doc, data, runs), strict=True):
+                for column, value in zip(out, emit(doc, data, runs), strict=True):
                     column.append(value)
             yield pa.record_batch([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=names)
 
@@ -410,13 +416,13 @@ def whole_characters(data: bytes, runs: list[tuple[int, int]]) -> list[tuple[int
 
 
 def _with_runs(rows: DataFrame, length: int) -> DataFrame:
-    return rows.join(repeated_runs(rows, length), "row", "left")
+    return rows.join(repeated_runs(rows, length), KEY, "left")
 
 
 def removal_digests(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the bytes that are left)."""
 
-    def emit(row: int, doc: int, data: bytes, runs: list[tuple[int, int]]) -> tuple:
+    def emit(doc: int, data: bytes, runs: list[tuple[int, int]]) -> tuple:
         return doc, len(data), sum(b - a for a, b in runs), len(runs), hashlib.sha256(without(data, runs)).hexdigest()
 
     names, types = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
@@ -424,9 +430,9 @@ def removal_digests(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, doc_id, kept: the texts without their repeated passages, cut at whole characters."""
+    """doc_id, kept: the texts without their repeated passages, cut at whole characters."""
 
-    def emit(row: int, doc: int, data: bytes, runs: list[tuple[int, int]]) -> tuple:
-        return row, doc, without(data, whole_characters(data, runs)).decode()
+    def emit(doc: int, data: bytes, runs: list[tuple[int, int]]) -> tuple:
+        return doc, without(data, whole_characters(data, runs)).decode()
 
-    return _with_runs(keyed(docs, id_col, text_col), length).mapInArrow(_removals(emit, ["row", "doc_id", "kept"], [pa.int64(), pa.int64(), pa.string()]), "row long, doc_id long, kept string")
+    return _with_runs(keyed(docs, id_col, text_col), length).mapInArrow(_removals(emit, ["doc_id", "kept"], [pa.int64(), pa.string()]), "doc_id long, kept string")
