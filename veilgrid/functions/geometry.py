@@ -36,7 +36,7 @@ def box_area(b: Column | str) -> Column:
 
 def quad_to_rect(quad: Column | str) -> Column:
     """Bounds of the points of a quad, in whatever order they come."""
-    xs, ys = (F.transform(_col(quad), lambda p, k=k: p[k].cast("double")) for k in (0, 1))
+    xs, ys = F.transform(_col(quad), lambda p: p[0].cast("double")), F.transform(_col(quad), lambda p: p[1].cast("double"))
     return rect(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))
 
 

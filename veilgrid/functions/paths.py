@@ -93,5 +93,5 @@ def latex_number(x: Column, decimals: int = 3, missing: str = "--") -> Column:
 
 def joined_text(texts: Column, strip: bool = True) -> Column:
     """Texts joined by a bar; blank ones are left out."""
-    shown = F.transform(texts, F.trim) if strip else texts
+    shown = F.transform(texts, lambda t: F.trim(t)) if strip else texts
     return F.array_join(F.filter(shown, lambda t: F.trim(t) != ""), " | ")

@@ -278,22 +278,21 @@ def output_path_case(spark, sf):
 
 @query("""SELECT img_id, CAST(row_number() OVER (ORDER BY string_split(name, '/')) AS BIGINT) AS path_rank, CAST(row_number() OVER (ORDER BY name) AS BIGINT) AS text_rank FROM {scan}""")
 def scan_order(spark, sf):
-    """Ranks over the whole listing by both orders: each a range-partitioned sort numbered per partition, not one task's window."""
-    names = relation(spark, sf, "scan").select("img_id", "name")
-    by_path = _global_rank(names.withColumn("order", P.parts(F.col("name"))), "order", "path_rank").select("img_id", "path_rank")
-    return by_path.join(_global_rank(names, "name", "text_rank").select("img_id", "text_rank"), "img_id")
-
-
-def _global_rank(rows: DataFrame, order: str, name: str) -> DataFrame:
-    """1, 2, ... in the order of a column without one task for all rows: ranks within its values' leading part plus what lies before."""
-    lead = F.col(order) if dict(rows.dtypes)[order] == "string" else F.array_join(F.slice(order, 1, 2), "/")
-    group = F.substring_index(lead, "/", 2)
-    key = F.split(group, "/") if dict(rows.dtypes)[order] != "string" else group
-    sized = rows.withColumn("lead", key)
-    counts = sized.groupBy("lead").agg(F.count("*").alias("size"))
-    before = counts.withColumn("before", F.coalesce(F.sum("size").over(Window.orderBy("lead").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    """Ranks over the whole listing by both orders, without one task for all rows."""
+    names = relation(spark, sf, "scan").select("img_id", "name", P.parts(F.col("name")).alias("parts"))
+    by_path = _global_rank(names, "parts", F.slice("parts", 1, 2), "path_rank").select("img_id", "path_rank")
+    return by_path.join(_global_rank(names, "name", F.substring("name", 1, 20), "text_rank").select("img_id", "text_rank"), "img_id")
+
+
+def _global_rank(rows: DataFrame, order: str, lead: Column, name: str) -> DataFrame:
+    """1, 2, ... in an order whose beginning is ``lead``: the rank within a lead, after the sizes of the leads before it.
+    The one window without partitions runs over the leads, a row each."""
+    led = rows.withColumn("lead", lead)
+    sizes = led.groupBy("lead").agg(F.count("*").alias("size"))
+    before = F.coalesce(F.sum("size").over(Window.orderBy("lead").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     within = F.row_number().over(Window.partitionBy("lead").orderBy(order))
-    return sized.withColumn("within", within).join(before.select("lead", "before"), "lead").withColumn(name, (F.col("before") + F.col("within")).cast("long"))
+    placed = led.withColumn("within", within).join(sizes.select("lead", before.alias("before")), "lead")
+    return placed.withColumn(name, (F.col("before") + F.col("within")).cast("long"))
 
 
 # --- filters ---------------------------------------------------------------------------------------------------------
