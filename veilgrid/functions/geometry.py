@@ -164,10 +164,17 @@ def spelled_boxes(detections: Column) -> Column:
 def rotation_to_zero(quad: Column | str) -> Column:
     """Degrees that bring the longest edge (the first of equals) to the nearest axis, in [-45, 45]."""
     quad = _col(quad)
-    edges = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.struct(
-        (quad[(k + 1) % 4][0] - quad[k][0]).cast("double").alias("dx"), (quad[(k + 1) % 4][1] - quad[k][1]).cast("double").alias("dy"), k.alias("k")))
-    longest = F.array_sort(F.transform(edges, lambda e: F.struct((-(e["dx"] * e["dx"] + e["dy"] * e["dy"])).alias("key"), e["k"].alias("k"), e["dx"].alias("dx"), e["dy"].alias("dy"))))[0]
-    angle = F.degrees(F.atan2(longest["dy"], longest["dx"]))
+    edges = [tuple((quad[(k + 1) % 4][axis] - quad[k][axis]).cast("double") for axis in (0, 1)) for k in range(4)]
+    lengths = [dx * dx + dy * dy for dx, dy in edges]
+    longest = F.greatest(*lengths)
+
+    def of_longest(axis: int) -> Column:
+        found = F.when(lengths[0] == longest, edges[0][axis])
+        for k in (1, 2, 3):
+            found = found.when(lengths[k] == longest, edges[k][axis])
+        return found
+
+    angle = F.degrees(F.atan2(of_longest(1), of_longest(0)))
     angle = F.when(angle > 90.0, angle - 180.0).when(angle <= -90.0, angle + 180.0).otherwise(angle)
     return F.when(angle > 45.0, 90.0 - angle).when(angle < -45.0, -90.0 - angle).otherwise(-angle)
 
