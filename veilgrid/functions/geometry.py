@@ -6,6 +6,8 @@ array of points. Whole-number rounding is half to even.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -163,20 +165,21 @@ def spelled_boxes(detections: Column) -> Column:
 
 def rotation_to_zero(quad: Column | str) -> Column:
     """Degrees that bring the longest edge (the first of equals) to the nearest axis, in [-45, 45]."""
-    quad = _col(quad)
-    edges = [tuple((quad[(k + 1) % 4][axis] - quad[k][axis]).cast("double") for axis in (0, 1)) for k in range(4)]
-    lengths = [dx * dx + dy * dy for dx, dy in edges]
-    longest = F.greatest(*lengths)
-
-    def of_longest(axis: int) -> Column:
-        found = F.when(lengths[0] == longest, edges[0][axis])
-        for k in (1, 2, 3):
-            found = found.when(lengths[k] == longest, edges[k][axis])
-        return found
-
-    angle = F.degrees(F.atan2(of_longest(1), of_longest(0)))
-    angle = F.when(angle > 90.0, angle - 180.0).when(angle <= -90.0, angle + 180.0).otherwise(angle)
-    return F.when(angle > 45.0, 90.0 - angle).when(angle < -45.0, -90.0 - angle).otherwise(-angle)
+
+    def longest_edge(q: Column) -> Column:
+        edges = [F.struct((q[(k + 1) % 4][0] - q[k][0]).cast("double").alias("dx"), (q[(k + 1) % 4][1] - q[k][1]).cast("double").alias("dy")) for k in range(4)]
+        size = lambda e: e["dx"] * e["dx"] + e["dy"] * e["dy"]
+        return F.aggregate(F.array(*edges[1:]), edges[0], lambda best, e: F.when(size(e) > size(best), e).otherwise(best))
+
+    wrapped = lambda a: F.when(a > 90.0, a - 180.0).when(a <= -90.0, a + 180.0).otherwise(a)
+    turn = lambda a: F.when(a > 45.0, 90.0 - a).when(a < -45.0, -90.0 - a).otherwise(-a)
+    edge = _bind(_col(quad), longest_edge)
+    return _bind(_bind(_bind(edge, lambda e: F.degrees(F.atan2(e["dy"], e["dx"]))), wrapped), turn)
+
+
+def _bind(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with the value computed once, however often f names it."""
+    return F.transform(F.array(value), lambda v: f(v))[0]
 
 
 def rotate_point(x: Column, y: Column, cx: Column, cy: Column, degrees: Column) -> Column:
