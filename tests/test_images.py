@@ -163,7 +163,7 @@ def test_stages_end_to_end(spark, tree, tmp_path):
     assert not (drawn == 255).all(axis=2).any()
     again = stages.run(spark, config.parse_config(text + 'run_mode = "report"\n', tmp_path))
     assert again["report"].count() == 3
-    assert records.write_images(records.png_column and stages.redacted_images(out["postprocess"], out["deidentification"]), str(tmp_path / "png")) == 3
+    assert records.write_images(stages.redacted_images(out["postprocess"], out["deidentification"]), str(tmp_path / "png")) == 3
     assert (tmp_path / "png/a/x_patient_1.png").exists()
 
 
