@@ -11,7 +11,7 @@ driver. Copies collapse to one fingerprint before any variant is made, so a larg
 :func:`near_copies` is the form for a similarity threshold, where near copies differ in far more than a few bits of one
 fingerprint. It makes ``WIDE`` further fingerprints of each text, cuts ``TABLES`` short codes from them and hashes the balls
 of radius 1 around each code: codes within two bits meet, and near copies do in at least one of several codes. A text is
-paired with three others of each ball, not with all. Pairs are screened by the bits in which their fingerprints differ,
+paired with the one before it in each ball, in the order of fingerprints, not with all. Pairs are screened by the bits in which their fingerprints differ,
 which estimate the angle between the shingle sets, and what is left is verified on the shingle sets themselves. Codes of ``CODE_BITS`` bits keep chance meetings rare up to about 2 ** (CODE_BITS - 8) distinct texts;
 a corpus a thousand times larger takes ten bits more and, for the same recall, more tables.
 
@@ -194,9 +194,8 @@ def near_copies(docs: DataFrame, words_each: int = 5, similarity: float = 0.8, i
     masks = [0, *(1 << b for b in range(CODE_BITS))]
     met = nodes.select("bits", F.explode(F.array(*[c.bitwiseXOR(F.lit(m).cast("long")) for c in codes for m in masks])).alias("variant"))
     order = Window.partitionBy("variant").orderBy("bits")
-    others = F.array_distinct(F.array_compact(F.array(F.lag("bits", 1).over(order), F.lag("bits", 2).over(order), F.first("bits").over(order))))
     differing = lambda a, b: F.bit_count(a.bitwiseXOR(b))
-    pairs = met.select("bits", others.alias("others")).filter("size(others) > 1 or others[0] <> bits").select(F.explode("others").alias("a"), F.col("bits").alias("b")).filter("a < b")
+    pairs = met.select(F.lag("bits").over(order).alias("a"), F.col("bits").alias("b")).filter("a < b")
     pairs = stage_table(pairs.filter(differing(F.col("a"), F.col("b")) <= _bound(similarity, 64, 3.3)).distinct(), "met")
     side = lambda n: nodes.select(F.col("bits").alias(n), *(F.col(w).alias(f"{n}_{w}") for w in wide))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
