@@ -5,6 +5,8 @@ Stages take and return the columns of ``documents``; the last returns the packed
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,7 +60,25 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+_LEFT: list = []
+
+
+def _stage(function):
+    """A stage whose input is written, so that what the stage before it kept for itself is deleted first."""
+
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        storage.drop(_LEFT, keep=docs)
+        since = storage.mark()
+        out = function(spark, docs, sf_dir)
+        _LEFT[:] = storage.opened(since)
+        return out
+
+    return run_stage
+
+
 STAGES = [("quality rules", keep_quality), ("near-dedup", one_of_each), ("suffix dedup", drop_repeats), ("personal data", redact), ("packing", pack)]
+STAGES = [(name, _stage(function)) for name, function in STAGES]
 
 #: Components, expectation-maximisation, trained fields and best-fit packing have no SQL; a brute-force version checks them.
 ORACLE_SQL = None
@@ -70,6 +90,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         since = storage.mark()
         out = stage(spark, docs, sf_dir)
         if k + 1 == len(STAGES):
+            _LEFT.clear()  # the result reads them; a later run must not delete them
             return out
         written = storage.stage_table(out, f"pipeline-{name.replace(' ', '-')}")
         storage.release(since, keep=written)

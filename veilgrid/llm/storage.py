@@ -64,6 +64,20 @@ def release(since: int = 0, keep: DataFrame | None = None) -> None:
             _delete(*entry)
 
 
+def opened(since: int) -> list[tuple[SparkSession, str]]:
+    """The stage tables opened from ``since`` on, for :func:`drop`."""
+    return _OPEN[since:]
+
+
+def drop(entries: list[tuple[SparkSession, str]], keep: DataFrame) -> None:
+    """Deletes these stage tables, but the one that ``keep`` scans."""
+    kept = _scanned(keep)
+    for entry in entries:
+        if entry in _OPEN and entry not in kept:
+            _OPEN.remove(entry)
+            _delete(*entry)
+
+
 def discard(table: DataFrame) -> None:
     """Deletes the stage table that ``table`` scans, once nothing reads it any more."""
     for entry in _scanned(table):
