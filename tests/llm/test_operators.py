@@ -234,6 +234,25 @@ def test_near_copies_link_by_similarity(spark):
     assert len(mine) >= 0.85 * len(all_) > 10
 
 
+def _linked(spark, texts):
+    """component_id of near_copies and of plain comparison of all pairs."""
+    got = by_id(simhash.near_copies(table(spark, texts)), "component_id")
+    roots = brute.components(list(range(len(texts))), lambda a, b: brute.shingle_similarity(texts[a], texts[b]) >= 0.8)
+    return got, {i: (r,) for i, r in roots.items()}
+
+
+def test_near_copies_of_a_template_are_all_linked(spark):
+    r = random.Random(17)
+    words = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    shared, texts = words(200), []
+    for _ in range(40):
+        own = words(40)
+        texts += [" ".join(shared + own + words(k)) for k in (0, 8)]
+    r.shuffle(texts)
+    got, want = _linked(spark, texts)
+    assert got == want and 1 < len(set(want.values())) < len(texts)
+
+
 def test_chains_and_ties_form_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 102)], "a long, b long")
     got = {r.a: r.b for r in simhash.components(edges).collect()}

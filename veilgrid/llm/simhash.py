@@ -8,12 +8,12 @@ the one before it, which keeps every component whole without writing out all pai
 verified and contracted to components by alternating star operations, all as tables; nothing but a sum comes to the
 driver. Copies collapse to one fingerprint before any variant is made, so a large group of copies is one node.
 
-:func:`near_copies` is the form for a similarity threshold, where near copies differ in far more than a few bits of one
-fingerprint. It makes ``WIDE`` further fingerprints of each text, cuts ``TABLES`` short codes from them and hashes the balls
-of radius 1 around each code: codes within two bits meet, and near copies do in at least one of several codes. A text is
-paired with the one before it in each ball, in the order of fingerprints, not with all. Pairs are screened by the bits in which their fingerprints differ,
-which estimate the angle between the shingle sets, and what is left is verified on the shingle sets themselves. Codes of ``CODE_BITS`` bits keep chance meetings rare up to about 2 ** (CODE_BITS - 8) distinct texts;
-a corpus a thousand times larger takes ten bits more and, for the same recall, more tables.
+:func:`near_copies` is the form for a similarity threshold and loses no pair. It works on the sets of shingle hashes. Texts
+with the same set are one node. Under any fixed order of shingles, two sets of Jaccard similarity t or more share one of
+the first n - ceil(t n) + 1 shingles of each, n its size; the order puts rare shingles first, which only decides how many
+texts meet. Texts that meet under a shingle are linked in two steps: each with the one before it and the first one, which
+joins most of a large group, then every pair that is still in different components. Pairs are ruled out by bounds that
+hold for certain (sizes, places, counts by slot); what is left is compared on the sets themselves.
 
 Defined results: a null text is the empty text; a text without words has fingerprint zero and is linked like any other;
 repeated rows are returned once each; a null id stays null and names no component unless all ids of it are null; an
@@ -170,62 +170,147 @@ def near_duplicates(docs: DataFrame, words_each: int = 3, radius: int = 2, id_co
     return out.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-WIDE, CODE_BITS = 5, 28
-TABLES = 2 * WIDE
+#: Of so many texts one is read for how common a shingle is, and so many of the commonest shingles are told to every task.
+#: Both decide only which shingles are looked at first.
+SAMPLED, COMMON = 8, 1 << 20
+#: A text's shingles are counted in so many slots, for a bound of what two texts share.
+SLOTS = 256
 
 
-def chance_of_differing(similarity: float) -> float:
-    """How likely a bit differs between two sets of equal size and this Jaccard similarity."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+def shingle_set(text: bytes, words_each: int) -> np.ndarray:
+    return np.unique(np.array(shingle_hashes(text, words_each), np.uint64))
 
 
-def _bound(similarity: float, bits: int, deviations: float) -> int:
-    p = chance_of_differing(similarity)
-    return math.floor(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
+def _slots(one: np.ndarray) -> bytes:
+    """How many shingles fall into each slot; nothing where a count does not fit a byte."""
+    counts = np.bincount((one >> np.uint64(56)).astype(np.int64), minlength=SLOTS)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
 
 
-def near_copies(docs: DataFrame, words_each: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, component_id: groups of texts linked by a Jaccard similarity of their shingle sets of ``similarity`` or more."""
-    wide = [f"w{k}" for k in range(WIDE)]
-    prints = stage_table(fingerprints(docs, words_each, id_col, text_col, further=WIDE), "fingerprints")
-    nodes = stage_table(prints.groupBy("bits").agg(F.min("doc_id").alias("low"), F.min(F.struct(*wide)).alias("w")).select("bits", "low", "w.*"), "nodes")
-    # A code is the lower or upper 28 of 60 bits of a further fingerprint; its table number stands above it.
-    codes = [F.shiftrightunsigned(w, 32 * half).bitwiseAND(F.lit((1 << CODE_BITS) - 1).cast("long")) + F.lit((2 * k + half) << 32).cast("long") for k, w in enumerate(wide) for half in (0, 1)]
-    masks = [0, *(1 << b for b in range(CODE_BITS))]
-    met = nodes.select("bits", F.explode(F.array(*[c.bitwiseXOR(F.lit(m).cast("long")) for c in codes for m in masks])).alias("variant"))
-    order = Window.partitionBy("variant").orderBy("bits")
-    differing = lambda a, b: F.bit_count(a.bitwiseXOR(b))
-    pairs = met.select(F.lag("bits").over(order).alias("a"), F.col("bits").alias("b")).filter("a < b")
-    pairs = stage_table(pairs.filter(differing(F.col("a"), F.col("b")) <= _bound(similarity, 64, 3.3)).distinct(), "met")
-    side = lambda n: nodes.select(F.col("bits").alias(n), *(F.col(w).alias(f"{n}_{w}") for w in wide))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    apart = sum(differing(F.col(f"a_{w}"), F.col(f"b_{w}")) for w in wide)
-    close = stage_table(both.filter(apart <= _bound(similarity, 64 * WIDE, 3.0)).select("a", "b"), "close")
-    # The few texts that are left are compared as they are: one text for each fingerprint.
-    asked = stage_table(close.select(F.col("a").alias("bits")).unionAll(close.select("b")).distinct().join(nodes.select("bits", "low"), "bits"), "asked")
-    texts = id_and_text(docs, id_col, text_col).join(asked.withColumnRenamed("low", "doc_id"), "doc_id").groupBy("bits").agg(F.min("text").alias("text"))
-    texts = stage_table(texts, "texts")
-    told = close.join(texts.select(F.col("bits").alias("a"), F.col("text").alias("a_text")), "a").join(texts.select(F.col("bits").alias("b"), F.col("text").alias("b_text")), "b")
-    return _named(prints, nodes, told.mapInArrow(_alike(words_each, similarity), "a long, b long")).select("doc_id", "component_id")
-
-
-def shingle_set(text: bytes, words_each: int) -> set[int]:
-    return set(shingle_hashes(text, words_each))
-
-
-def _alike(words_each: int, similarity: float):
+def _sets(words_each: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow_text.slices(batches):
+            sets = [shingle_set(t.as_buffer().to_pybytes(), words_each) for t in arrow_text.column(batch, "text")]
+            held = [s.tobytes() for s in sets]
+            name = [xxhash.xxh3_128_digest(h) for h in held]
+            found = [pa.array([s.size for s in sets], pa.int64()), pa.array(map(_slots, sets), pa.binary()), pa.array(held, pa.binary()), pa.array(name, pa.binary())]
+            yield pa.record_batch([arrow_text.column(batch, "doc_id"), arrow_text.column(batch, "row"), *found], names=["doc_id", "row", "n", "slots", "shingles", "name"])
+
+    return run
+
+
+def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in arrow_text.slices(batches, "shingles"):
+        joined = b"".join(arrow_text.column(batch, "shingles").to_pylist())
+        yield pa.record_batch([pa.array(np.frombuffer(joined, np.int64))], names=["shingle"])
+
+
+def _first_shingles(common, similarity: float):
+    """shingle, bits, n, place: of each set so many of its rarest shingles that a set as similar has one of them among its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, often = common.value
+        for batch in arrow_text.slices(batches, "shingles"):
+            parts, sizes = [], []
+            for held in arrow_text.column(batch, "shingles"):
+                one = np.frombuffer(held.as_buffer(), np.uint64)
+                at = np.minimum(np.searchsorted(known, one), max(0, known.size - 1))
+                count = np.where(known[at] == one, often[at], 0) if known.size else np.zeros(one.size, np.int64)
+                shared = math.ceil(similarity * one.size * (1 - 1e-9))  # what a set as similar has in common at least
+                parts.append(one[np.lexsort((one, count))[: one.size - shared + 1]])
+                sizes.append(parts[-1].size)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            place = np.arange(owner.size) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            own = [arrow_text.column(batch, c).to_numpy()[owner] for c in ("bits", "n")]
+            yield pa.record_batch([pa.array(np.concatenate(parts).view(np.int64)), *map(pa.array, own), pa.array(place, pa.int64())], names=["shingle", "bits", "n", "place"])
+
+    return run
+
+
+def _enough(shared, n, m, similarity: float):
+    return shared >= similarity * (n + m - shared)
+
+
+def _may_be_alike(similarity: float):
+    """The pairs that the counts of their slots do not rule out: no slot shares more than the lesser count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (arrow_text.column(batch, c).to_pylist() for c in ("a_slots", "b_slots"))
+            whole = [bool(x and y) for x, y in zip(left, right, strict=True)]
+            counts = [np.frombuffer(b"".join(x if w else bytes(SLOTS) for x, w in zip(side, whole, strict=True)), np.uint8).reshape(-1, SLOTS) for side in (left, right)]
+            n, m = (arrow_text.column(batch, c).to_numpy() for c in ("a_n", "b_n"))
+            most = np.where(whole, np.minimum(*counts).sum(axis=1, dtype=np.int64), np.minimum(n, m))
+            yield batch.select(["a", "b"]).filter(pa.array(_enough(most, n, m, similarity)))
+
+    return run
+
+
+def _alike(similarity: float):
     """The pairs whose shingle sets have at least ``similarity`` (Jaccard) in common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_text.slices(batches, "a_text"):
+        for batch in arrow_text.slices(batches, "a_shingles"):
+            left, right = (arrow_text.column(batch, c) for c in ("a_shingles", "b_shingles"))
             kept = []
-            last, one = None, set()
-            for a, b, left, right in zip(*(arrow_text.column(batch, c).to_pylist() for c in ("a", "b", "a_text", "b_text")), strict=True):
-                if a != last:
-                    last, one = a, shingle_set(left.encode(), words_each)
-                two = shingle_set(right.encode(), words_each)
-                if len(one & two) >= similarity * len(one | two):
-                    kept.append((a, b))
-            yield pa.record_batch([pa.array([x for x, _ in kept], pa.int64()), pa.array([x for _, x in kept], pa.int64())], names=["a", "b"])
+            for x, y in zip(left, right, strict=True):
+                one, two = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = np.sort(np.concatenate([one, two]), kind="stable")
+                kept.append(_enough(int((both[1:] == both[:-1]).sum()), one.size, two.size, similarity))
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     return run
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of pairs (a < b) of texts those that are near copies, as a stage table."""
+
+    def beside(pairs: DataFrame, *columns: str) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = pairs.join(sets.select(F.col("bits").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in columns)), side)
+        return pairs
+
+    pairs = stage_table(pairs, "met")
+    left = stage_table(beside(pairs, "n", "slots").mapInArrow(_may_be_alike(similarity), "a long, b long"), "left")
+    told = stage_table(beside(left, "shingles").mapInArrow(_alike(similarity), "a long, b long"), "told")
+    discard(pairs)
+    discard(left)
+    return told
+
+
+def near_copies(docs: DataFrame, words_each: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, component_id: groups of texts linked by a Jaccard similarity of their shingle sets of ``similarity`` or more."""
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity must be above 0 and at most 1")
+    spark = docs.sparkSession
+    read = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    rows = stage_table(read.mapInArrow(_sets(words_each), "doc_id long, row long, n long, slots binary, shingles binary, name binary"), "sets")
+    # Texts of the same set are one node, named after its first row.
+    nodes = stage_table(rows.groupBy("name").agg(F.min("row").alias("bits"), F.min("doc_id").alias("low")), "nodes")
+    sets = rows.withColumnRenamed("row", "bits").join(nodes.select("bits"), "bits", "left_semi")
+    sampled = rows.filter(F.pmod(F.xxhash64("row"), F.lit(SAMPLED)) == 0).select("shingles").mapInArrow(_each_shingle, "shingle long")
+    often = sampled.groupBy("shingle").count().filter("count > 1").orderBy(F.desc("count")).limit(COMMON).toArrow()
+    known, counts = often.column("shingle").to_numpy().view(np.uint64), often.column("count").to_numpy()
+    order = np.argsort(known)
+    common = spark.sparkContext.broadcast((known[order], counts[order]))
+    first = sets.select("bits", "n", "shingles").mapInArrow(_first_shingles(common, similarity), "shingle long, bits long, n long, place long")
+    by_shingle = Window.partitionBy("shingle")
+    met = first.withColumn("sharing", F.count("*").over(by_shingle)).filter("sharing > 1").drop("sharing")
+    met = stage_table(met, "first-shingles")
+    # First each text with the one before it and the first one: this joins most of a large group. Then every pair that is still apart.
+    beside = by_shingle.orderBy("n", "bits")
+    few = met.select("bits", F.array(F.lag("bits").over(beside), F.first("bits").over(beside)).alias("others")).select("bits", F.explode("others").alias("other")).filter("bits <> other")
+    near = _verified(few.select(F.least("bits", "other").alias("a"), F.greatest("bits", "other").alias("b")).distinct(), sets, similarity)
+    stars = components(near)
+    rooted = met.join(stars.select(F.col("a").alias("bits"), F.col("b").alias("root")), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
+    apart = rooted.withColumn("low", F.min("root").over(by_shingle)).withColumn("high", F.max("root").over(by_shingle)).filter("low < high")
+    apart = stage_table(apart.select("shingle", "bits", "n", "place", "root"), "apart")
+    a, b = (apart.select("shingle", *(F.col(c).alias(f"{side}_{c}") for c in ("bits", "n", "place", "root"))) for side in ("a", "b"))
+    sizes = F.least("a_n", "b_n") >= F.lit(similarity * (1 - 1e-9)) * F.greatest("a_n", "b_n")
+    pairs = a.join(b, "shingle").filter((F.col("a_bits") < F.col("b_bits")) & (F.col("a_root") != F.col("b_root")) & sizes)
+    # The first shingle that two sets share has nothing in common before it in either.
+    pairs = pairs.groupBy(F.col("a_bits").alias("a"), F.col("b_bits").alias("b")).agg(F.least(F.first("a_n") - F.min("a_place"), F.first("b_n") - F.min("b_place")).alias("most"), (F.first("a_n") + F.first("b_n")).alias("n"))
+    pairs = pairs.filter(F.col("most") >= F.lit(similarity * (1 - 1e-9)) * (F.col("n") - F.col("most"))).select("a", "b")
+    found = near.unionAll(_verified(pairs, sets, similarity))
+    prints = rows.select("doc_id", "name").join(nodes.select("name", "bits"), "name")
+    return _named(prints, nodes, found).select("doc_id", "component_id")
