@@ -172,7 +172,7 @@ def near_duplicates(docs: DataFrame, words_each: int = 3, radius: int = 2, id_co
 
 #: Of so many texts one is read for how common a shingle is, and so many of the commonest shingles are told to every task.
 #: Both decide only which shingles are looked at first.
-SAMPLED, COMMON = 8, 1 << 20
+SAMPLED, COMMON = 16, 1 << 20
 #: A text's shingles are counted in so many slots, for a bound of what two texts share.
 SLOTS = 256
 
@@ -206,23 +206,21 @@ def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _first_shingles(common, similarity: float):
-    """shingle, bits, n, place: of each set so many of its rarest shingles that a set as similar has one of them among its own."""
+    """bits, n, first: of each set so many of its rarest shingles, in order, that a set as similar has one of them among its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, often = common.value
         for batch in arrow_text.slices(batches, "shingles"):
-            parts, sizes = [], []
+            parts = []
             for held in arrow_text.column(batch, "shingles"):
                 one = np.frombuffer(held.as_buffer(), np.uint64)
                 at = np.minimum(np.searchsorted(known, one), max(0, known.size - 1))
                 count = np.where(known[at] == one, often[at], 0) if known.size else np.zeros(one.size, np.int64)
                 shared = math.ceil(similarity * one.size * (1 - 1e-9))  # what a set as similar has in common at least
                 parts.append(one[np.lexsort((one, count))[: one.size - shared + 1]])
-                sizes.append(parts[-1].size)
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            place = np.arange(owner.size) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            own = [arrow_text.column(batch, c).to_numpy()[owner] for c in ("bits", "n")]
-            yield pa.record_batch([pa.array(np.concatenate(parts).view(np.int64)), *map(pa.array, own), pa.array(place, pa.int64())], names=["shingle", "bits", "n", "place"])
+            ends = np.cumsum([0, *(p.size for p in parts)])
+            first = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts).view(np.int64)))
+            yield pa.record_batch([arrow_text.column(batch, "bits"), arrow_text.column(batch, "n"), first], names=["bits", "n", "first"])
 
     return run
 
@@ -272,9 +270,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
     pairs = stage_table(pairs, "met")
     left = stage_table(beside(pairs, "n", "slots").mapInArrow(_may_be_alike(similarity), "a long, b long"), "left")
+    asked = stage_table(left.select(F.col("a").alias("bits")).unionAll(left.select("b")).distinct(), "asked")
+    sets = stage_table(sets.select("bits", "shingles").join(asked, "bits"), "asked-sets")
     told = stage_table(beside(left, "shingles").mapInArrow(_alike(similarity), "a long, b long"), "told")
-    discard(pairs)
-    discard(left)
+    for table in (pairs, left, asked, sets):
+        discard(table)
     return told
 
 
@@ -287,13 +287,14 @@ def near_copies(docs: DataFrame, words_each: int = 5, similarity: float = 0.8, i
     rows = stage_table(read.mapInArrow(_sets(words_each), "doc_id long, row long, n long, slots binary, shingles binary, name binary"), "sets")
     # Texts of the same set are one node, named after its first row.
     nodes = stage_table(rows.groupBy("name").agg(F.min("row").alias("bits"), F.min("doc_id").alias("low")), "nodes")
-    sets = rows.withColumnRenamed("row", "bits").join(nodes.select("bits"), "bits", "left_semi")
+    sets = rows.withColumnRenamed("row", "bits")
     sampled = rows.filter(F.pmod(F.xxhash64("row"), F.lit(SAMPLED)) == 0).select("shingles").mapInArrow(_each_shingle, "shingle long")
     often = sampled.groupBy("shingle").count().filter("count > 1").orderBy(F.desc("count")).limit(COMMON).toArrow()
     known, counts = often.column("shingle").to_numpy().view(np.uint64), often.column("count").to_numpy()
     order = np.argsort(known)
     common = spark.sparkContext.broadcast((known[order], counts[order]))
-    first = sets.select("bits", "n", "shingles").mapInArrow(_first_shingles(common, similarity), "shingle long, bits long, n long, place long")
+    first = sets.select("bits", "n", "shingles").mapInArrow(_first_shingles(common, similarity), "bits long, n long, first array<long>")
+    first = first.join(nodes.select("bits"), "bits", "left_semi").select("bits", "n", F.posexplode("first").alias("place", "shingle"))
     by_shingle = Window.partitionBy("shingle")
     met = first.withColumn("sharing", F.count("*").over(by_shingle)).filter("sharing > 1").drop("sharing")
     met = stage_table(met, "first-shingles")
