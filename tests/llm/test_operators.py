@@ -253,6 +253,17 @@ def test_near_copies_of_a_template_are_all_linked(spark):
     assert got == want and 1 < len(set(want.values())) < len(texts)
 
 
+def test_near_copies_count_a_repeated_passage_once(spark):
+    r = random.Random(23)
+    words = lambda n: [f"v{r.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for _ in range(10):
+        base, passage = words(104), words(8)
+        texts += [" ".join(base), " ".join(base + 5 * passage)]
+    got, want = _linked(spark, texts)
+    assert got == want and len(set(want.values())) == 10
+
+
 def test_chains_and_ties_form_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 102)], "a long, b long")
     got = {r.a: r.b for r in simhash.components(edges).collect()}
