@@ -264,6 +264,18 @@ def test_near_copies_count_a_repeated_passage_once(spark):
     assert got == want and len(set(want.values())) == 10
 
 
+def test_near_copies_lose_no_link(spark):
+    r = random.Random(29)
+    words = lambda n: [f"u{r.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for _ in range(60):
+        base = words(124)
+        copy = base[:40] + words(1) + base[41:80] + words(1) + base[81:]  # 110 of 130 shingles in common
+        texts += [" ".join(base), " ".join(copy)]
+    got, want = _linked(spark, texts)
+    assert got == want and len(set(want.values())) == 60
+
+
 def test_chains_and_ties_form_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 102)], "a long, b long")
     got = {r.a: r.b for r in simhash.components(edges).collect()}
