@@ -276,6 +276,14 @@ def test_near_copies_lose_no_link(spark):
     assert got == want and len(set(want.values())) == 60
 
 
+def test_near_copies_of_equal_fingerprint_are_compared(spark):
+    r = random.Random(31)
+    texts = ["again " * 300 + " ".join(f"t{r.randrange(10**6)}" for _ in range(40)) for _ in range(4)]
+    got, want = _linked(spark, texts)
+    assert len(set(brute.simhash(t) for t in texts)) == 1
+    assert got == want and len(set(want.values())) == 4
+
+
 def test_chains_and_ties_form_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 102)], "a long, b long")
     got = {r.a: r.b for r in simhash.components(edges).collect()}
