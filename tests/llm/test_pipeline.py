@@ -80,7 +80,7 @@ def test_near_dedup_stage_keeps_one_of_each(written):
 
 def test_suffix_stage_removes_repeats(written):
     items = sorted(rows(written[2]).elements(), key=str)
-    spans = brute.removed_repeats([t for _, t in items])
+    spans = brute.removed_repeats([t for _, t in items], corpus_pipeline.PASSAGE)
     after = rows(written[3])
     assert sum(after.values()) == len(items)
     lengths = Counter((i, n - removed) for (i, _), (n, removed, _, _) in zip(items, spans, strict=True))

@@ -306,7 +306,12 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return id_and_text(docs, id_col, text_col).mapInArrow(_scan(emit, names, types, trained_weights()), schema)
 
 
-def redaction_of(texts: DataFrame) -> DataFrame:
-    """doc_id, text with every span replaced, from doc_id and text."""
-    emit = lambda doc, text, base, spans: (doc, redacted(text, spans))
-    return texts.mapInArrow(_scan(emit, ["doc_id", "text"], [pa.int64(), pa.string()], trained_weights()), "doc_id long, text string")
+def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """``docs`` with every span of their texts replaced, and the new length in ``length_col``; other columns as they are."""
+    weights = trained_weights()
+
+    def change(texts: list[str]) -> list[str]:
+        field = SemiMarkov(KINDS, candidates, span_features, weights)
+        return [redacted(t, all_spans(t, field)[1]) for t in texts]
+
+    return arrow_text.with_texts(docs, change, text_col, length_col)

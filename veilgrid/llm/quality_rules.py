@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storage import stage_table
-from .text_stats import text_stats
+from .text_stats import beside_stats, text_stats
 
 #: How often a rule may call a good document bad, as a prior that weighs as much as the corpus. Without it the fit may
 #: take the commonest sort of junk for the bad class and leave the other sorts to the good one.
@@ -82,9 +82,9 @@ def base_failed(min_words: int, repeat_percent: int) -> Column:
     return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
 
 
-def quality_rules(docs: DataFrame, min_words: int = 20, repeat_percent: int = 30, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, posterior."""
-    stats = stage_table(text_stats(docs, id_col, text_col), "stats")
+def _judged(stats: DataFrame, min_words: int, repeat_percent: int, threshold: float) -> DataFrame:
+    """A stage table of ``COUNTS`` with ``base_failed``, ``kept`` and ``posterior``. The votes of all its rows are counted
+    first, which reads the counts alone, then every row is judged."""
     voted = stats.select("*", *votes())
     columns = [f"vote_{r}" for r in RULES]
     patterns = voted.groupBy(*columns).count().collect()  # at most 3 ** len(RULES) rows
@@ -97,4 +97,18 @@ def quality_rules(docs: DataFrame, min_words: int = 20, repeat_percent: int = 30
             odds = odds + F.when(F.col(c) == -1, float(w[0])).when(F.col(c) == 0, float(w[1])).otherwise(float(w[2]))
         posterior = 1 / (1 + F.exp(-odds))
     failed = base_failed(min_words, repeat_percent)
-    return voted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & (posterior >= threshold)).alias("kept"), posterior.alias("posterior"))
+    return voted.select("*", failed.alias("base_failed"), (~failed & (posterior >= threshold)).alias("kept"), posterior.alias("posterior"))
+
+
+def quality_rules(docs: DataFrame, min_words: int = 20, repeat_percent: int = 30, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, posterior."""
+    stats = stage_table(text_stats(docs, id_col, text_col), "stats")
+    return _judged(stats, min_words, repeat_percent, threshold).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+
+
+def keep_good(docs: DataFrame, min_words: int = 20, repeat_percent: int = 30, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns as they are. The rows are written once, beside their counts, so
+    that nothing has to be joined."""
+    stats = stage_table(beside_stats(docs, text_col), "stats")
+    kept = _judged(stats, min_words, repeat_percent, threshold).filter("kept")
+    return kept.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))

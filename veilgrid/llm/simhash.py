@@ -8,12 +8,7 @@ the one before it, which keeps every component whole without writing out all pai
 verified and contracted to components by alternating star operations, all as tables; nothing but a sum comes to the
 driver. Copies collapse to one fingerprint before any variant is made, so a large group of copies is one node.
 
-:func:`near_copies` is the form for a similarity threshold and loses no pair. It works on the sets of shingle hashes. Texts
-with the same set are one node. Under any fixed order of shingles, two sets of Jaccard similarity t or more share one of
-the first n - ceil(t n) + 1 shingles of each, n its size; the order puts rare shingles first, which only decides how many
-texts meet. Texts that meet under a shingle are linked in two steps: each with the one before it and the first one, which
-joins most of a large group, then every pair that is still in different components. Pairs are ruled out by bounds that
-hold for certain (sizes, places, counts by slot); what is left is compared on the sets themselves.
+:mod:`veilgrid.llm.near_copies` is the form for a threshold of similarity.
 
 Defined results: a null text is the empty text; a text without words has fingerprint zero and is linked like any other;
 repeated rows are returned once each; a null id stays null and names no component unless all ids of it are null; an
@@ -22,7 +17,6 @@ empty table gives an empty table; other columns are ignored. Whole texts are has
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -74,28 +68,16 @@ def shingle_hashes(text: bytes, words_each: int) -> list[int]:
     return [of(joined[a:b], SEED) for a, b in zip(begin, stop[k - 1 :].tolist(), strict=True)]
 
 
-def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Hashes as of another function: the k-th stream of a finaliser over them. k = 0 leaves them as they are."""
-    if k == 0:
-        return hashes
-    h = hashes + np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
-    return h ^ (h >> np.uint64(31))
-
-
-def fingerprints(docs: DataFrame, words_each: int = 3, id_col: str = "doc_id", text_col: str = "text", further: int = 0) -> DataFrame:
-    """doc_id, bits (the fingerprint as a signed long), and w0, w1, ... for ``further`` fingerprints of other hashes."""
-    names = ["bits", *(f"w{k}" for k in range(further))]
+def fingerprints(docs: DataFrame, words_each: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, bits (the fingerprint as a signed long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_text.slices(batches):
             parts = [np.array(shingle_hashes(t.as_buffer().to_pybytes(), words_each), np.uint64) for t in arrow_text.column(batch, "text")]
-            hashes, ends = np.concatenate(parts), np.cumsum([p.size for p in parts])
-            found = [pa.array(majority_bits(_mixed(hashes, k), ends).view(np.int64)) for k in range(len(names))]
-            yield pa.record_batch([arrow_text.column(batch, "doc_id"), *found], names=["doc_id", *names])
+            bits = majority_bits(np.concatenate(parts), np.cumsum([p.size for p in parts]))
+            yield pa.record_batch([arrow_text.column(batch, "doc_id"), pa.array(bits.view(np.int64))], names=["doc_id", "bits"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, bits long")
 
 
 def ball_masks(radius: int) -> list[int]:
@@ -130,33 +112,76 @@ def _star(edges: DataFrame, upwards: bool) -> DataFrame:
         own = least.select("a", F.col("low").alias("b"))
         moved = both.join(least, "a").filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")).unionAll(own)
     out = stage_table(moved.filter("a <> b").distinct(), "stars")
-    discard(both)
-    discard(least)
+    discard(both, least)
     return out
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """a, b: every node that has a link to a smaller one of its component, with the smallest node of the component."""
-    before = None
+#: Links that a task contracts together.
+CHUNK = 1 << 20
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of a task as stars, by union-find over ``CHUNK`` of them at a time."""
+
+    def stars(chunk: list[pa.RecordBatch]) -> pa.RecordBatch:
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            top = x
+            while (up := root.get(top, top)) != top:
+                top = up
+            while x != top:
+                root[x], x = top, root.get(x, x)
+            return top
+
+        for batch in chunk:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x, y = find(a), find(b)
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+        return pa.record_batch([pa.array(list(root), pa.int64()), pa.array([find(x) for x in root], pa.int64())], names=["a", "b"])
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= CHUNK:
+            yield stars(held)
+            held, rows = [], 0
+    if held:
+        yield stars(held)
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node with a link to a smaller one has just that link, and none to it."""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionAll(edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above")).filter("below > 1 or below = 1 and above = 1").isEmpty()
+
+
+def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """a, b: every node that has a link to a smaller one of its component, with the smallest node of the component. Tasks
+    contract the links they hold; star operations, over all links, do the rest."""
+    edges = links
     for _ in range(most_rounds):
-        held = edges
-        raised = _star(held, upwards=True)
+        contracted = stage_table(edges.mapInArrow(_forest, "a long, b long").filter("a <> b").distinct(), "forest")
+        if edges is not links:
+            discard(edges)
+        if _are_stars(contracted):
+            return contracted
+        raised = _star(contracted, upwards=True)
         edges = _star(raised, upwards=False)
-        discard(raised)
-        if before is not None:
-            discard(held)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+        discard(contracted, raised)
+        if _are_stars(edges):
             return edges
-        before = now
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
 def _named(prints: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     """doc_id, bits, component_id from doc_id and bits, the distinct bits with their least id, and links between bits."""
-    stars = components(stage_table(found, "links"))
+    stars = components(found)
     rooted = nodes.select("bits", "low").join(stars.select(F.col("a").alias("bits"), F.col("b").alias("root")), "bits", "left").select("bits", "low", F.coalesce("root", "bits").alias("root"))
     rooted = stage_table(rooted, "rooted")
+    discard(stars)
     named = stage_table(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "roots")
     of_bits = stage_table(rooted.join(named, "root").select("bits", "component_id"), "classes")
     return prints.select("doc_id", "bits").join(of_bits, "bits")
@@ -168,150 +193,3 @@ def near_duplicates(docs: DataFrame, words_each: int = 3, radius: int = 2, id_co
     nodes = stage_table(prints.groupBy("bits").agg(F.min("doc_id").alias("low")), "nodes")
     out = _named(prints, nodes, links(nodes, radius))
     return out.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-#: Of so many texts one is read for how common a shingle is, and so many of the commonest shingles are told to every task.
-#: Both decide only which shingles are looked at first.
-SAMPLED, COMMON = 16, 1 << 20
-#: A text's shingles are counted in so many slots, for a bound of what two texts share.
-SLOTS = 256
-
-
-def shingle_set(text: bytes, words_each: int) -> np.ndarray:
-    return np.unique(np.array(shingle_hashes(text, words_each), np.uint64))
-
-
-def _slots(one: np.ndarray) -> bytes:
-    """How many shingles fall into each slot; nothing where a count does not fit a byte."""
-    counts = np.bincount((one >> np.uint64(56)).astype(np.int64), minlength=SLOTS)
-    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
-
-
-def _sets(words_each: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_text.slices(batches):
-            sets = [shingle_set(t.as_buffer().to_pybytes(), words_each) for t in arrow_text.column(batch, "text")]
-            held = [s.tobytes() for s in sets]
-            name = [xxhash.xxh3_128_digest(h) for h in held]
-            found = [pa.array([s.size for s in sets], pa.int64()), pa.array(map(_slots, sets), pa.binary()), pa.array(held, pa.binary()), pa.array(name, pa.binary())]
-            yield pa.record_batch([arrow_text.column(batch, "doc_id"), arrow_text.column(batch, "row"), *found], names=["doc_id", "row", "n", "slots", "shingles", "name"])
-
-    return run
-
-
-def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in arrow_text.slices(batches, "shingles"):
-        joined = b"".join(arrow_text.column(batch, "shingles").to_pylist())
-        yield pa.record_batch([pa.array(np.frombuffer(joined, np.int64))], names=["shingle"])
-
-
-def _first_shingles(common, similarity: float):
-    """bits, n, first: of each set so many of its rarest shingles, in order, that a set as similar has one of them among its own."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, often = common.value
-        for batch in arrow_text.slices(batches, "shingles"):
-            parts = []
-            for held in arrow_text.column(batch, "shingles"):
-                one = np.frombuffer(held.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(known, one), max(0, known.size - 1))
-                count = np.where(known[at] == one, often[at], 0) if known.size else np.zeros(one.size, np.int64)
-                shared = math.ceil(similarity * one.size * (1 - 1e-9))  # what a set as similar has in common at least
-                parts.append(one[np.lexsort((one, count))[: one.size - shared + 1]])
-            ends = np.cumsum([0, *(p.size for p in parts)])
-            first = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts).view(np.int64)))
-            yield pa.record_batch([arrow_text.column(batch, "bits"), arrow_text.column(batch, "n"), first], names=["bits", "n", "first"])
-
-    return run
-
-
-def _enough(shared, n, m, similarity: float):
-    return shared >= similarity * (n + m - shared)
-
-
-def _may_be_alike(similarity: float):
-    """The pairs that the counts of their slots do not rule out: no slot shares more than the lesser count."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (arrow_text.column(batch, c).to_pylist() for c in ("a_slots", "b_slots"))
-            whole = [bool(x and y) for x, y in zip(left, right, strict=True)]
-            counts = [np.frombuffer(b"".join(x if w else bytes(SLOTS) for x, w in zip(side, whole, strict=True)), np.uint8).reshape(-1, SLOTS) for side in (left, right)]
-            n, m = (arrow_text.column(batch, c).to_numpy() for c in ("a_n", "b_n"))
-            most = np.where(whole, np.minimum(*counts).sum(axis=1, dtype=np.int64), np.minimum(n, m))
-            yield batch.select(["a", "b"]).filter(pa.array(_enough(most, n, m, similarity)))
-
-    return run
-
-
-def _alike(similarity: float):
-    """The pairs whose shingle sets have at least ``similarity`` (Jaccard) in common."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_text.slices(batches, "a_shingles"):
-            left, right = (arrow_text.column(batch, c) for c in ("a_shingles", "b_shingles"))
-            kept = []
-            for x, y in zip(left, right, strict=True):
-                one, two = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([one, two]), kind="stable")
-                kept.append(_enough(int((both[1:] == both[:-1]).sum()), one.size, two.size, similarity))
-            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-    return run
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Of pairs (a < b) of texts those that are near copies, as a stage table."""
-
-    def beside(pairs: DataFrame, *columns: str) -> DataFrame:
-        for side in ("a", "b"):
-            pairs = pairs.join(sets.select(F.col("bits").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in columns)), side)
-        return pairs
-
-    pairs = stage_table(pairs, "met")
-    left = stage_table(beside(pairs, "n", "slots").mapInArrow(_may_be_alike(similarity), "a long, b long"), "left")
-    asked = stage_table(left.select(F.col("a").alias("bits")).unionAll(left.select("b")).distinct(), "asked")
-    sets = stage_table(sets.select("bits", "shingles").join(asked, "bits"), "asked-sets")
-    told = stage_table(beside(left, "shingles").mapInArrow(_alike(similarity), "a long, b long"), "told")
-    for table in (pairs, left, asked, sets):
-        discard(table)
-    return told
-
-
-def near_copies(docs: DataFrame, words_each: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, component_id: groups of texts linked by a Jaccard similarity of their shingle sets of ``similarity`` or more."""
-    if not 0 < similarity <= 1:
-        raise ValueError("similarity must be above 0 and at most 1")
-    spark = docs.sparkSession
-    read = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    rows = stage_table(read.mapInArrow(_sets(words_each), "doc_id long, row long, n long, slots binary, shingles binary, name binary"), "sets")
-    # Texts of the same set are one node, named after its first row.
-    nodes = stage_table(rows.groupBy("name").agg(F.min("row").alias("bits"), F.min("doc_id").alias("low")), "nodes")
-    sets = rows.withColumnRenamed("row", "bits")
-    sampled = rows.filter(F.pmod(F.xxhash64("row"), F.lit(SAMPLED)) == 0).select("shingles").mapInArrow(_each_shingle, "shingle long")
-    often = sampled.groupBy("shingle").count().filter("count > 1").orderBy(F.desc("count")).limit(COMMON).toArrow()
-    known, counts = often.column("shingle").to_numpy().view(np.uint64), often.column("count").to_numpy()
-    order = np.argsort(known)
-    common = spark.sparkContext.broadcast((known[order], counts[order]))
-    first = sets.select("bits", "n", "shingles").mapInArrow(_first_shingles(common, similarity), "bits long, n long, first array<long>")
-    first = first.join(nodes.select("bits"), "bits", "left_semi").select("bits", "n", F.posexplode("first").alias("place", "shingle"))
-    by_shingle = Window.partitionBy("shingle")
-    met = first.withColumn("sharing", F.count("*").over(by_shingle)).filter("sharing > 1").drop("sharing")
-    met = stage_table(met, "first-shingles")
-    # First each text with the one before it and the first one: this joins most of a large group. Then every pair that is still apart.
-    beside = by_shingle.orderBy("n", "bits")
-    few = met.select("bits", F.array(F.lag("bits").over(beside), F.first("bits").over(beside)).alias("others")).select("bits", F.explode("others").alias("other")).filter("bits <> other")
-    near = _verified(few.select(F.least("bits", "other").alias("a"), F.greatest("bits", "other").alias("b")).distinct(), sets, similarity)
-    stars = components(near)
-    rooted = met.join(stars.select(F.col("a").alias("bits"), F.col("b").alias("root")), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
-    apart = rooted.withColumn("low", F.min("root").over(by_shingle)).withColumn("high", F.max("root").over(by_shingle)).filter("low < high")
-    apart = stage_table(apart.select("shingle", "bits", "n", "place", "root"), "apart")
-    a, b = (apart.select("shingle", *(F.col(c).alias(f"{side}_{c}") for c in ("bits", "n", "place", "root"))) for side in ("a", "b"))
-    sizes = F.least("a_n", "b_n") >= F.lit(similarity * (1 - 1e-9)) * F.greatest("a_n", "b_n")
-    pairs = a.join(b, "shingle").filter((F.col("a_bits") < F.col("b_bits")) & (F.col("a_root") != F.col("b_root")) & sizes)
-    # The first shingle that two sets share has nothing in common before it in either.
-    pairs = pairs.groupBy(F.col("a_bits").alias("a"), F.col("b_bits").alias("b")).agg(F.least(F.first("a_n") - F.min("a_place"), F.first("b_n") - F.min("b_place")).alias("most"), (F.first("a_n") + F.first("b_n")).alias("n"))
-    pairs = pairs.filter(F.col("most") >= F.lit(similarity * (1 - 1e-9)) * (F.col("n") - F.col("most"))).select("a", "b")
-    found = near.unionAll(_verified(pairs, sets, similarity))
-    prints = rows.select("doc_id", "name").join(nodes.select("name", "bits"), "name")
-    return _named(prints, nodes, found).select("doc_id", "component_id")

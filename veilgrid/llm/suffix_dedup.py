@@ -41,8 +41,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import arrow_text
@@ -333,12 +334,17 @@ def _repeated_in_hot(contexts: DataFrame, length: int) -> DataFrame:
     return runs
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """k1, k2, doc_id, text: each row under its id (a stand-in where it is null) and the hash of its text."""
-    return id_and_text(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k1"), F.xxhash64("text").alias("k2"), "doc_id", "text")
+KEY = ["k1", "k2"]
 
 
-KEY = ["k1", "k2"]
+def key_of(id_col: str, text_col: str) -> list[Column]:
+    """k1, k2: the id (a stand-in where it is null) and the hash of the text."""
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("k1"), F.xxhash64(text_col).alias("k2")]
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """k1, k2, doc_id, text: each row under its id and the hash of its text."""
+    return id_and_text(docs, id_col, text_col).select(*key_of("doc_id", "text"), "doc_id", "text")
 
 
 def repeated_runs(rows: DataFrame, length: int = 400) -> DataFrame:
@@ -375,20 +381,20 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[np.concatenate([[0], new])], ends[np.concatenate([new - 1, [ends.size - 1]])]
 
 
+def _merged_runs(spans: pa.Scalar) -> list[tuple[int, int]]:
+    if not spans.is_valid:
+        return []
+    starts, ends = merged(*(spans.values.field(f).to_numpy() for f in ("start", "end")))
+    return list(zip(starts.tolist(), ends.tolist(), strict=True))
+
+
 def _removals(emit: Callable, names: list[str], types: list[pa.DataType]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_text.slices(batches):
             out: list[list] = [[] for _ in names]
             spans = arrow_text.column(batch, "spans")
             for k, (doc, text) in enumerate(zip(arrow_text.column(batch, "doc_id").to_pylist(), arrow_text.column(batch, "text"), strict=True)):
-                data = text.as_buffer()
-                data = b"" if data is None else data.to_pybytes()
-                if spans[k].is_valid:
-                    starts, ends = merged(*(spans[k].values.field(f).to_numpy() for f in ("start", "end")))
-                    runs = list(zip(starts.tolist(), ends.tolist(), strict=True))
-                else:
-                    runs = []
-                for column, value in zip(out, emit(doc, data, runs), strict=True):
+                for column, value in zip(out, emit(doc, text.as_buffer().to_pybytes(), _merged_runs(spans[k])), strict=True):
                     column.append(value)
             yield pa.record_batch([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=names)
 
@@ -429,10 +435,28 @@ def removal_digests(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
     return _with_runs(keyed(docs, id_col, text_col), length).mapInArrow(_removals(emit, names, types), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, kept: the texts without their repeated passages, cut at whole characters."""
-
-    def emit(doc: int, data: bytes, runs: list[tuple[int, int]]) -> tuple:
-        return doc, without(data, whole_characters(data, runs)).decode()
-
-    return _with_runs(keyed(docs, id_col, text_col), length).mapInArrow(_removals(emit, ["doc_id", "kept"], [pa.int64(), pa.string()]), "doc_id long, kept string")
+def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """``docs``, all columns, with their texts without repeated passages, cut at whole characters, and the new length in
+    ``length_col``."""
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    of, sized = plain.columns[docs.columns.index(text_col)], plain.columns[docs.columns.index(length_col)] if length_col else None
+    rows = plain.withColumn(of, F.coalesce(F.col(of).cast("string"), F.lit("")))
+    rows = rows.select(*key_of(plain.columns[docs.columns.index(id_col)], of), *rows.columns)
+    runs = repeated_runs(rows.select(*KEY, F.col(of).alias("text")), length)
+
+    def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow_text.slices(batches, of):
+            left = []
+            for text, spans in zip(arrow_text.column(batch, of), arrow_text.column(batch, "spans"), strict=True):
+                data = text.as_buffer().to_pybytes()
+                left.append(without(data, whole_characters(data, _merged_runs(spans))))
+            texts = pa.array(left, pa.binary()).cast(arrow_text.column(batch, of).type)
+            batch = batch.select([c for c in batch.schema.names if c != "spans"]).set_column(batch.schema.get_field_index(of), of, texts)
+            if sized is not None:
+                batch = batch.set_column(batch.schema.get_field_index(sized), sized, pc.utf8_length(texts).cast(pa.int64()))
+            yield batch
+
+    joined = rows.join(runs, KEY, "left").drop(*KEY)
+    if sized is not None:
+        joined = joined.withColumn(sized, F.col(sized).cast("long"))
+    return joined.mapInArrow(change, joined.drop("spans").schema).toDF(*docs.columns)

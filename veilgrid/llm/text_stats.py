@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import arrow_text
 from .storage import id_and_text
@@ -69,13 +70,30 @@ def counts(data: bytes, characters: int) -> tuple[int, ...]:
     )
 
 
+def _rows_of(texts: pa.Array) -> list[pa.Array]:
+    rows = [counts(t.as_buffer().to_pybytes(), c) for t, c in zip(texts, pc.utf8_length(texts).to_pylist(), strict=True)]
+    return [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+
+
 def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and a long for each of ``COUNTS``; a row for each input row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_text.slices(batches):
-            texts = arrow_text.column(batch, "text")
-            rows = [counts(t.as_buffer().to_pybytes(), c) for t, c in zip(texts, pc.utf8_length(texts).to_pylist(), strict=True)]
-            yield pa.record_batch([arrow_text.column(batch, "doc_id"), *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True))], names=["doc_id", *COUNTS])
+            yield pa.record_batch([arrow_text.column(batch, "doc_id"), *_rows_of(arrow_text.column(batch, "text"))], names=["doc_id", *COUNTS])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+
+
+def beside_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The columns of ``docs`` under the names ``c0``, ``c1``, ... and a long for each of ``COUNTS``."""
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    of = plain.columns[docs.columns.index(text_col)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow_text.slices(batches, of):
+            texts = pc.fill_null(arrow_text.column(batch, of), "")
+            yield pa.record_batch([*batch.columns, *_rows_of(texts)], names=[*batch.schema.names, *COUNTS])
+
+    schema = StructType([*plain.schema, *(StructField(c, LongType()) for c in COUNTS)])
+    return plain.mapInArrow(run, schema)
