@@ -1,77 +1,60 @@
 """The corpus pipeline: rules, near-dedup, suffix dedup, redaction, packing, each over all that the one before it kept.
 
-Stages take and return the columns of ``documents``; the last returns the packed pieces.
+Stages take and return the columns of ``documents``; the last returns the packed pieces. Rules, redaction and packing pass
+the rows through their workers and join nothing; near-dedup knows a row by its file and number, suffix dedup by its id and
+text, so no stage depends on how files are split into tasks. A null text is the empty text from the first stage that
+changes texts on.
 """
 
 from __future__ import annotations
 
 import functools
+import threading
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from veilgrid.llm import packing, pii, quality_rules, simhash, storage, suffix_dedup
+from veilgrid.llm import near_copies, packing, pii, quality_rules, storage, suffix_dedup
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
-
-def _on_rows(docs: DataFrame) -> DataFrame:
-    """The documents under a row number, so that repeated or missing ids stay apart. docs is a written table."""
-    return docs.select(F.monotonically_increasing_id().alias("row"), *COLUMNS)
-
-
-def _kept(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The documents whose row numbers are in ``rows``."""
-    return _on_rows(docs).join(rows.select("row"), "row", "left_semi").select(*COLUMNS)
-
-
-def _renewed(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The documents with the texts of (doc_id = row, text); n_chars follows."""
-    rest = _on_rows(docs).drop("text", "n_chars")
-    out = rest.join(texts.select(F.col("doc_id").alias("row"), "text"), "row")
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
-
-
-def _numbered(docs: DataFrame) -> DataFrame:
-    return _on_rows(docs).select(F.col("row").alias("doc_id"), "text")
+#: Passages of over 50 words are to go: 50 words of four letters and a space are 250 bytes.
+PASSAGE = 250
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality_rules.quality_rules(_numbered(docs))
-    return _kept(docs, judged.filter("kept").select(F.col("doc_id").alias("row")))
+    return quality_rules.keep_good(docs.select(*COLUMNS))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the first row stays: the row that its component is named after."""
-    groups = simhash.near_copies(_numbered(docs), words_each=5, similarity=0.8)
-    return _kept(docs, groups.filter("doc_id = component_id").select(F.col("doc_id").alias("row")))
+    return near_copies.one_of_each(docs, words_each=5, similarity=0.8).select(*COLUMNS)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = suffix_dedup.remove_repeats(_numbered(docs))
-    return _renewed(docs, left.select("doc_id", F.col("kept").alias("text")))
+    return suffix_dedup.remove_repeats(docs.select(*COLUMNS), PASSAGE, length_col="n_chars")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _renewed(docs, pii.redaction_of(storage.id_and_text(_numbered(docs))))
+    return pii.redact(docs.select(*COLUMNS), length_col="n_chars")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-_LEFT: list = []
+#: Stage tables that a stage's result still reads, by the run they belong to: its session, input and thread.
+_LEFT: dict[tuple, list[str]] = {}
 
 
 def _stage(function):
-    """A stage whose input is written, so that what the stage before it kept for itself is deleted first."""
+    """A stage that first deletes what the stage before it, in the same run, kept for its result: that is written by now."""
 
     @functools.wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        storage.drop(_LEFT, keep=docs)
-        since = storage.mark()
-        out = function(spark, docs, sf_dir)
-        _LEFT[:] = storage.opened(since)
+        run_of = (id(spark), sf_dir, threading.get_ident())
+        storage.delete(_LEFT.pop(run_of, []), keep=docs)
+        with storage.recorded() as made:
+            out = function(spark, docs, sf_dir)
+        if function is not pack:  # nothing follows it, so its result keeps its tables
+            _LEFT[run_of] = made
         return out
 
     return run_stage
@@ -85,14 +68,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = storage.read(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        since = storage.mark()
-        out = stage(spark, docs, sf_dir)
-        if k + 1 == len(STAGES):
-            _LEFT.clear()  # the result reads them; a later run must not delete them
-            return out
-        written = storage.stage_table(out, f"pipeline-{name.replace(' ', '-')}")
-        storage.release(since, keep=written)
-        docs = written
-    raise AssertionError("STAGES is empty")
+    docs, held = storage.read(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        written = storage.stage_table(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        if held is not None:
+            storage.discard(held)
+        docs = held = written
+    return STAGES[-1][1](spark, docs, sf_dir)
