@@ -1,16 +1,14 @@
 """Near copies: texts linked by a Jaccard similarity of their word-shingle sets, without losing a pair.
 
-Texts with the same set of shingles are one node. Under any fixed order of shingles, two sets of similarity t or more
+Texts with the same set of shingles are one node. Candidates are, first, texts whose SimHash fingerprints collide in a ball
+(:mod:`veilgrid.llm.simhash`): fingerprints of the sets, as many variants as lie within half the radius. They are near
+copies for the most part, but not all of them. So, second, under any fixed order of shingles two sets of similarity t or more
 share one of the first n - ceil(t n) + 1 shingles of each, n its size; the order puts rare shingles first, which only
-decides how many texts meet. Texts that share one of their first shingles are candidates, and only those are read again.
+decides how many texts meet. Every pair that shares one of its first shingles is compared, so that no link is lost.
 
-They are linked in three steps, each of which leaves fewer texts apart for the next:
-
-1. *SimHash balls* (:mod:`veilgrid.llm.simhash`): fingerprints of the sets, as many variants as lie within half the
-   radius, texts that collide in a variant are pairs.
-2. *Neighbours*: under each shared shingle every text and the one before it in a shuffled order, and the first one. This
-   joins most of a large group; it is repeated in new orders as long as that pays.
-3. *Every pair that is still apart* under a shared shingle, so that no link is lost.
+Where large groups share a shingle, links are made in steps that leave fewer texts apart: under each shingle every text is
+compared with the one before it in a shuffled order, and with the first one, which joins most of a large group; this is
+repeated in new orders as long as that pays. Then every pair that is still in different components is compared.
 
 Pairs are ruled out by bounds that hold for certain (sizes, places of the shared shingle, counts by slot); the others are
 verified on the sets themselves. Components are contracted as tables (:func:`veilgrid.llm.simhash.components`).
@@ -24,18 +22,18 @@ empty table gives an empty table; other columns are ignored by :func:`near_copie
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import arrow_text
 from .simhash import components, links, majority_bits, shingle_hashes
-from .storage import PLACE, as_scan, discard, place_of, stage_table, sweep
+from .storage import PLACE, as_scan, delete, discard, place_of, recorded, stage_table, sweep
 
 #: Of so many texts one is read for how common a shingle is, and so many of the commonest shingles are told to every task.
 #: Both decide only which shingles are looked at first.
@@ -43,7 +41,8 @@ SAMPLED, COMMON = 16, 1 << 20
 #: A text's shingles are counted in so many slots, for a bound of what two texts share.
 SLOTS = 256
 RADIUS = 2
-#: Step 2 is repeated while it at least halves the pairs left apart and more than so many are left for each shared shingle.
+#: All pairs are compared once there are at most so many for each text under a shingle; until then neighbours are, while that at
+#: least halves the pairs left apart, in so many orders at most.
 PAIRS_EACH, MOST_ORDERS = 4, 6
 
 
@@ -66,12 +65,12 @@ def _each_shingle(words_each: int):
     return run
 
 
-_PRINT = "file long, at long, doc_id long, same long, row long, n int, bits long, name binary, slots binary, first array<long>"
+_PRINT = "file long, at long, doc_id long, same long, row long, n int, bits long, node long, name binary, slots binary, first array<long>"
 
 
 def _prints(words_each: int, similarity: float, common):
-    """Of each text the size, fingerprint, name and slots of its set, and so many of its rarest shingles, in order, that a
-    set as similar has one of them among its own."""
+    """Of each text the size, fingerprint, name (whole, and in short as ``node``) and slots of its set, and so many of its
+    rarest shingles, in order, that a set as similar has one of them among its own."""
     through = ["file", "at", "doc_id", "same", "row"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,11 +86,12 @@ def _prints(words_each: int, similarity: float, common):
                 shared = math.ceil(similarity * one.size * (1 - 1e-9))  # what a set as similar has in common at least
                 first.append(one[np.lexsort((one, c))[: one.size - shared + 1]])
             offsets = np.cumsum([0, *(f.size for f in first)])
+            names = [xxhash.xxh3_128_digest(s) for s in sets]
             made = [
-                pa.array(sizes, pa.int32()), pa.array(majority_bits(flat, ends).view(np.int64)), pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(map(_slots, sets), pa.binary()),
+                pa.array(sizes, pa.int32()), pa.array(majority_bits(flat, ends).view(np.int64)), pa.array(np.frombuffer(b"".join(names), "<i8")[::2]), pa.array(names, pa.binary()), pa.array(map(_slots, sets), pa.binary()),
                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(first).view(np.int64))),
             ]
-            yield pa.record_batch([*(arrow_text.column(batch, c) for c in through), *made], names=[*through, "n", "bits", "name", "slots", "first"])
+            yield pa.record_batch([*(arrow_text.column(batch, c) for c in through), *made], names=[*through, "n", "bits", "node", "name", "slots", "first"])
 
     return run
 
@@ -144,10 +144,19 @@ def _beside(pairs: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
     return pairs
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words_each: int, similarity: float) -> DataFrame:
-    """Of pairs (a, b) of rows those that are near copies, as a stage table."""
-    left = _beside(pairs, nodes, "n", "slots").mapInArrow(_may_be_alike(similarity), "a long, b long")
+def _texts(scan: DataFrame, text: Column, nodes: DataFrame) -> DataFrame:
+    """row, text of these nodes, as a stage table."""
+    return stage_table(scan.select(*place_of(scan), text).join(nodes.select(*PLACE, "row"), PLACE).select("row", "text"), "texts")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], words_each: int, similarity: float) -> DataFrame:
+    """Of pairs (a, b) of rows those that are near copies, as a stage table. Only texts of pairs that no bound rules out are
+    read. texts_of(pairs) -> row, text."""
+    left = stage_table(_beside(pairs, nodes, "n", "slots").mapInArrow(_may_be_alike(similarity), "a long, b long"), "left")
+    texts = texts_of(left)
+    sweep(nodes.sparkSession)
     told = stage_table(_beside(left, texts, "text").mapInArrow(_alike(words_each, similarity), "a long, b long"), "told")
+    discard(left)
     sweep(nodes.sparkSession)
     return told
 
@@ -205,6 +214,14 @@ def _classes(scan: DataFrame, words_each: int, similarity: float, id_col: str, t
     """file, at, doc_id, same (hash of the text), root (a number for each group of near copies)."""
     if not 0 < similarity <= 1:
         raise ValueError("similarity must be above 0 and at most 1")
+    with recorded() as made:
+        classes = _rows_by_class(scan, words_each, similarity, id_col, text_col)
+    delete(made, keep=classes)
+    sweep(scan.sparkSession)
+    return classes
+
+
+def _rows_by_class(scan: DataFrame, words_each: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
     spark = scan.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     sampled = scan.select(*place_of(scan), text).filter(F.pmod(F.xxhash64(*PLACE), F.lit(SAMPLED)) == 0).select("text").mapInArrow(_each_shingle(words_each), "shingle long")
@@ -214,35 +231,39 @@ def _classes(scan: DataFrame, words_each: int, similarity: float, id_col: str, t
     common = spark.sparkContext.broadcast((known[order], counts[order]))  # at most 16 bytes for each of COMMON
     read = scan.select(*place_of(scan), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("same"), F.monotonically_increasing_id().alias("row"), text)
     prints = stage_table(read.mapInArrow(_prints(words_each, similarity, common), _PRINT), "prints")
-    # Texts of the same set are one node, named after its first row.
+    # Texts of the same set are one node, named after its first row. Shingles that nodes share are found first, which leaves few rows.
     heads = stage_table(prints.groupBy("name").agg(F.min("row").alias("head")), "heads")
-    first = prints.select("row", "n", "first").join(heads.select(F.col("head").alias("row")), "row", "left_semi").select("row", "n", F.posexplode("first").alias("place", "shingle"))
-    met = stage_table(first.withColumn("sharing", F.count("*").over(Window.partitionBy("shingle"))).filter("sharing > 1").drop("sharing"), "met")
+    of_shingle = Window.partitionBy("shingle")
+    each = prints.select("row", "node", "n", F.posexplode("first").alias("place", "shingle")).withColumn("low", F.min("node").over(of_shingle)).withColumn("high", F.max("node").over(of_shingle))
+    shared = stage_table(each.filter("low <> high").select("shingle", "row", "n", "place"), "shared")
     sweep(spark)
+    met = stage_table(shared.join(heads.select(F.col("head").alias("row")), "row", "left_semi"), "met")
+    discard(shared)
     nodes = stage_table(prints.select("file", "at", "row", "n", "bits", "slots").join(met.select("row").distinct(), "row"), "nodes")
-    texts = stage_table(scan.select(*place_of(scan), text).join(nodes.select(*PLACE, "row"), PLACE).select("row", "text"), "texts")
-    sweep(spark)
-    near = _verified(_ball_pairs(nodes), nodes, texts, words_each, similarity)
-    stars = components(near)
-    apart = _rooted(met, stars)
-    left, rows = _pairs_apart(apart)
-    for order in range(MOST_ORDERS):
-        if left <= PAIRS_EACH * rows:
-            break
-        more = _verified(_neighbours(apart, order), nodes, texts, words_each, similarity)
-        joined, before = components(stars.unionAll(more)), left
-        discard(stars, apart)
-        stars, apart = joined, _rooted(met, joined)
-        left, rows = _pairs_apart(apart)
-        if left > before / 2:
-            break
-    more = _verified(_every_pair(apart, similarity), nodes, texts, words_each, similarity)
-    stars = components(stars.unionAll(more))
-    discard(met, nodes, texts, apart)
+
+    def of_pairs(pairs: DataFrame) -> DataFrame:
+        asked = pairs.select(F.col("a").alias("row")).unionAll(pairs.select("b")).distinct()
+        return _texts(scan, text, nodes.join(asked, "row"))
+
+    left, rows = _pairs_apart(met.withColumn("root", F.col("row")))
+    if left <= PAIRS_EACH * rows:
+        told = _verified(_ball_pairs(nodes).unionAll(_every_pair(met.withColumn("root", F.col("row")), similarity)).distinct(), nodes, of_pairs, words_each, similarity)
+        stars = components(told)
+    else:
+        texts = _texts(scan, text, nodes)  # read several times
+        known_texts = lambda pairs: texts
+        stars = components(_verified(_ball_pairs(nodes).unionAll(_neighbours(met.withColumn("root", F.col("row")), 0)).distinct(), nodes, known_texts, words_each, similarity))
+        for k in range(1, MOST_ORDERS + 1):
+            apart, before = _rooted(met, stars), left
+            left, rows = _pairs_apart(apart)
+            all_of_them = left <= PAIRS_EACH * rows or left > before / 2 or k == MOST_ORDERS
+            more = _verified(_every_pair(apart, similarity) if all_of_them else _neighbours(apart, k), nodes, known_texts, words_each, similarity)
+            stars = components(stars.unionAll(more))
+            discard(apart)
+            if all_of_them:
+                break
     of_heads = heads.join(stars.select(F.col("a").alias("head"), F.col("b").alias("root")), "head", "left").select("name", F.coalesce("root", "head").alias("root"))
-    of_rows = stage_table(prints.select("file", "at", "doc_id", "same", "name").join(of_heads, "name").drop("name"), "classes")
-    discard(prints)
-    return of_rows
+    return stage_table(prints.select("file", "at", "doc_id", "same", "name").join(of_heads, "name").drop("name"), "classes")
 
 
 def near_copies(docs: DataFrame, words_each: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -117,7 +117,7 @@ def _star(edges: DataFrame, upwards: bool) -> DataFrame:
 
 
 #: Links that a task contracts together.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,14 +159,17 @@ def _are_stars(edges: DataFrame) -> bool:
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """a, b: every node that has a link to a smaller one of its component, with the smallest node of the component. Tasks
-    contract the links they hold; star operations, over all links, do the rest."""
+    """a, b: every node that has a link to a smaller one of its component, with the smallest node of the component, as a stage
+    table. Tasks contract up to ``CHUNK`` links each; while there is more than one such task, star operations over all links
+    join what they left apart. ``links`` is a scan, or a union of scans."""
     edges = links
     for _ in range(most_rounds):
-        contracted = stage_table(edges.mapInArrow(_forest, "a long, b long").filter("a <> b").distinct(), "forest")
+        tasks = max(1, -(-edges.count() // CHUNK))
+        forest = edges.coalesce(tasks).mapInArrow(_forest, "a long, b long").filter("a <> b")
+        contracted = stage_table(forest if tasks == 1 else forest.distinct(), "forest")
         if edges is not links:
             discard(edges)
-        if _are_stars(contracted):
+        if tasks == 1 or _are_stars(contracted):
             return contracted
         raised = _star(contracted, upwards=True)
         edges = _star(raised, upwards=False)
@@ -178,7 +181,9 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 def _named(prints: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     """doc_id, bits, component_id from doc_id and bits, the distinct bits with their least id, and links between bits."""
+    found = stage_table(found, "links")
     stars = components(found)
+    discard(found)
     rooted = nodes.select("bits", "low").join(stars.select(F.col("a").alias("bits"), F.col("b").alias("root")), "bits", "left").select("bits", "low", F.coalesce("root", "bits").alias("root"))
     rooted = stage_table(rooted, "rooted")
     discard(stars)

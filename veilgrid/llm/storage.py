@@ -44,13 +44,16 @@ def shared_root(spark: SparkSession) -> str:
 
 @contextlib.contextmanager
 def recorded() -> Iterator[list[str]]:
-    """The paths of the stage tables that are made inside the block by this thread."""
+    """The paths of the stage tables that are made inside the block by this thread; a block around it has them too."""
     made: list[str] = []
+    outer = _MADE.get()
     token = _MADE.set(made)
     try:
         yield made
     finally:
         _MADE.reset(token)
+        if outer is not None:
+            outer += made
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
