@@ -3,8 +3,8 @@
 A byte goes if it is covered by a string of ``length`` bytes that also starts anywhere else in the corpus.
 
 Sorting every suffix of a corpus is what induced sorting avoids: it samples suffixes by a local rule, names the
-substrings at the samples, recurs on the samples whose names do not decide their order, and induces all other
-positions from the sorted samples. The levels here are:
+substrings at the samples, recurs where names do not decide the order, sorts the sampled suffixes and induces all other
+positions from them. The levels here are:
 
 1. *Sample and name.* Position p is a sample if it holds the smallest hash of an 8-byte gram in some window of ``SPAN``
    grams; every text position i is assigned to the sample of the window that starts at i, a rule that reads nothing
@@ -12,18 +12,20 @@ positions from the sorted samples. The levels here are:
    there on share a *core* of ``length - SPAN + 1`` bytes. The name of a sample is the hash of its core.
    A name that occurs once ends here: none of its positions starts a repeated string.
 2. *Equal contexts.* Samples whose whole *context* (all strings of the positions assigned to them) is equal are one
-   tuple with a count; a name with a single context needs no sorting, however often it occurs.
-3. *Sort.* The other contexts are dealt out by name. A shard pushes its suffix tuples into a disk-backed priority queue
-   (:class:`SuffixQueue`: sorted runs in task-private files, merged through a heap), and reads them back in
-   lexicographic order with the common prefix of each neighbour pair.
-4. *Induce.* Going backwards from the samples, byte by byte, the tuples of equal left context are dealt stably by the
-   preceding byte, as induced sorting does, and the common-prefix values of new neighbours are range minima of the old
-   ones. At distance d, a position starts a repeated string if it shares ``length - d`` bytes with a neighbour.
-
-A name with more than ``HOT_CONTEXTS`` different contexts (the rim of a passage that a large part of the corpus
-holds) is not sorted in one task: its contexts are named again over ever narrower ranges of distances, until every
-range has a unique name or a single context (:func:`_repeated_in_hot`).
-Names and contexts are joined on 128 bits of hash; a name that collides costs work and no correctness.
+   tuple with a count; a name that stands for one context is decided by that, however often it occurs.
+3. *Recur.* A name with more than ``HOT_CONTEXTS`` contexts (the rim of a passage that a large part of the corpus holds)
+   does not decide enough for one task. Its contexts are cut into narrower ranges of distances; all strings of a range
+   share more bytes than those of the whole, so ranges get longer names, and are taken through steps 1 to 4 again
+   (:func:`_recursed`). A range of one distance is named by its whole string.
+4. *Sort and induce.* The other tuples are dealt out by name. A shard pushes its suffix tuples into a disk-backed
+   priority queue (:class:`SuffixQueue`), which returns them in lexicographic order, each with the common-prefix value to
+   the one before: the sorted runs hold these values, and the merge derives new ones from them. Going backwards
+   from the samples, byte by byte, the tuples of equal left context are dealt stably by the preceding byte, as induced
+   sorting does, and the common-prefix values of new neighbours are range minima of the old ones (:func:`induce`). At
+   distance d, a position starts a repeated string if it shares ``length - d`` bytes with a neighbour.
+
+A task holds one block of tuples (``INDUCED_AT_ONCE``, and the rest of the last name) and one queue buffer in memory,
+whatever the shard. Names and contexts are joined on 128 bits of hash; a name that collides costs work and no correctness.
 
 Defined results: a null text is the empty text; texts shorter than ``length`` are never changed; repeated rows (same id
 or not) are separate documents and hence repeats of each other; a null id stays null; an empty table gives an empty
@@ -33,6 +35,7 @@ the input may come in another order each time it is read; rows equal in both hav
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import pickle
@@ -47,10 +50,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import arrow_text
-from .storage import id_and_text, stage_table
+from .storage import delete, discard, id_and_text, recorded, stage_table, sweep
 
 SPAN, GRAM = 192, 8
-HOT_CONTEXTS = 512
+#: Names with so many different contexts are sorted; with fewer nothing is left to decide, with more they recur.
+SORTED_FROM, HOT_CONTEXTS = 2, 512
+#: Distances in a range, at each recursion.
+WIDTHS = (48, 12, 3, 1)
 #: Window starts looked at together, contexts induced together, bytes of tuples a queue holds before it writes a run.
 BLOCK, INDUCED_AT_ONCE, QUEUE_BYTES = 1 << 20, 8192, 48 << 20
 
@@ -146,40 +152,80 @@ def _contexts_batch(names: list[str], out: list[list]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=names)
 
 
+def extended(one: bytes, two: bytes, common: int) -> int:
+    """The length of the common prefix, of which ``common`` bytes are known."""
+    n = min(len(one), len(two))
+    while common < n:
+        end = min(n, common + 64)
+        if one[common:end] != two[common:end]:
+            differ = int.from_bytes(one[common:end], "big") ^ int.from_bytes(two[common:end], "big")
+            return common + (8 * (end - common) - differ.bit_length()) // 8
+        common = end
+    return n
+
+
+def neighbour_prefixes(keys: list[bytes]) -> np.ndarray:
+    """Of each key the length of the prefix it shares with the key before it; 0 for the first."""
+    out = np.zeros(len(keys), np.int64)
+    for k in range(0, len(keys) - 1, 2000):
+        some = keys[k : k + 2001]
+        sizes = np.array(list(map(len, some)))
+        padded = np.zeros((len(some), sizes.max() + 1), np.uint8)
+        inside = np.arange(padded.shape[1]) < sizes[:, None]
+        padded[inside] = np.frombuffer(b"".join(some), np.uint8)
+        differ = padded[1:] != padded[:-1]
+        shared = np.where(differ.any(axis=1), differ.argmax(axis=1), padded.shape[1])
+        out[k + 1 : k + len(some)] = np.minimum(shared, np.minimum(sizes[1:], sizes[:-1]))
+    return out
+
+
 class SuffixQueue:
-    """A priority queue of (key, payload) tuples on disk: sorted runs, merged as they are read."""
+    """A priority queue of suffix tuples (key, payload) on disk; ties go by the payload's first entry. Runs are sorted and hold, with each tuple, the common prefix
+    with the tuple before it; the merge carries these values on, so no byte known to be shared is compared again."""
 
     def __init__(self, limit: int = QUEUE_BYTES) -> None:
         self.limit, self.size = limit, 0
-        self.heap: list[tuple] = []
+        self.buffer: list[tuple] = []
         self.runs: list = []
 
     def push(self, key: bytes, payload: tuple) -> None:
-        self.heap.append((key, payload))
+        self.buffer.append((key, payload))
         self.size += len(key) + 200
         if self.size >= self.limit:
             self.spill()
 
+    def _sorted(self) -> Iterator[list[tuple]]:
+        """The buffer in order, as lists of (key, common, payload); it is empty afterwards."""
+        self.buffer.sort(key=lambda x: (x[0], x[1][0]))
+        common = neighbour_prefixes([k for k, _ in self.buffer])
+        for i in range(0, len(self.buffer), 1000):
+            yield [(key, c, payload) for (key, payload), c in zip(self.buffer[i : i + 1000], common[i : i + 1000].tolist(), strict=True)]
+        self.buffer, self.size = [], 0
+
     def spill(self) -> None:
-        self.heap.sort()
         run = tempfile.TemporaryFile()
-        for i in range(0, len(self.heap), 1000):
-            pickle.dump(self.heap[i : i + 1000], run, pickle.HIGHEST_PROTOCOL)
+        for part in self._sorted():
+            pickle.dump(part, run, pickle.HIGHEST_PROTOCOL)
         self.runs.append(run)
-        self.heap, self.size = [], 0
 
     @staticmethod
-    def _read(run) -> Iterator[tuple]:
+    def _read(run) -> Iterator[list[tuple]]:
         run.seek(0)
         while True:
             try:
-                yield from pickle.load(run)
+                yield pickle.load(run)
             except EOFError:
                 return
 
-    def drain(self) -> Iterator[tuple]:
-        self.heap.sort()
-        yield from heapq.merge(*map(self._read, self.runs), self.heap)
+    def drain(self) -> Iterator[tuple[bytes, int, tuple]]:
+        """All tuples by key, each with its common prefix with the one returned before it."""
+        source = lambda parts, of: ((key, of, common, payload) for part in parts for key, common, payload in part)
+        inputs = [source(self._read(run), of) for of, run in enumerate(self.runs)] + [source(self._sorted(), len(self.runs))]
+        before, last = b"", -1
+        for key, of, common, payload in heapq.merge(*inputs, key=lambda x: (x[0], x[3][0])):
+            # ``common`` is shared with an earlier tuple of its run, so with all that came between.
+            yield key, common if of == last else extended(before, key, common), payload
+            before, last = key, of
         for run in self.runs:
             run.close()
 
@@ -200,20 +246,16 @@ def range_minima(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.
         table = np.minimum(table[: -(1 << (k - 1))], table[1 << (k - 1) :])
 
 
-def induce(core: np.ndarray, forward: np.ndarray, sizes: np.ndarray, left: np.ndarray, most: np.ndarray, length: int) -> np.ndarray:
-    """Which strings recur: a row per context, sorted by (core, forward), a column per distance from the sample.
+def induce(name: np.ndarray, common: np.ndarray, left: np.ndarray, most: np.ndarray, length: int) -> np.ndarray:
+    """Which strings recur: a row per tuple, in the order of the queue, a column per distance from the sample.
 
-    forward: bytes from the sample on, padded; sizes: how many of them count. left: bytes before the sample, nearest
-    first, ``most`` of them.
+    name: numbers, equal for tuples of one name; common: bytes from the sample on that a tuple shares with the one before
+    it; left: bytes before the sample, nearest first, ``most`` of them.
     """
-    n = core.size
+    n = name.size
     found = np.zeros((n, SPAN), bool)
-    common = np.zeros(n, np.int64)
-    if n > 1:
-        differ = forward[1:] != forward[:-1]
-        shared = np.where(differ.any(axis=1), differ.argmax(axis=1), forward.shape[1])
-        common[1:] = np.minimum(shared, np.minimum(sizes[1:], sizes[:-1]))
-    item, group = np.arange(n), np.concatenate([[0], np.cumsum(core[1:] != core[:-1])]) if n else np.zeros(0, np.int64)
+    common = common.copy()
+    item, group = np.arange(n), np.concatenate([[0], np.cumsum(name[1:] != name[:-1])]) if n else np.zeros(0, np.int64)
     for d in range(SPAN):
         joined = (group[1:] == group[:-1]) & (common[1:] >= length - d)
         at = np.flatnonzero(joined)
@@ -242,22 +284,25 @@ def induce(core: np.ndarray, forward: np.ndarray, sizes: np.ndarray, left: np.nd
     return found
 
 
+_RUNS = "n1 long, n2 long, own long, runs array<struct<low:int,high:int>>"
+
+
 def _sort_shard(length: int):
-    """core, context, runs of distances at which a position starts a repeated string."""
+    """n1, n2 (name), own (context), runs of distances at which a position starts a repeated string; from tuples of
+    n1, n2, own, copies, most, least, data."""
 
-    def block(entries: list[tuple]) -> pa.RecordBatch:
+    def block(entries: list[tuple[bytes, int, tuple]]) -> pa.RecordBatch:
         n = len(entries)
-        core = np.frombuffer(b"".join(k[:8] for k, _ in entries), ">i8").astype(np.int64)
-        sizes = np.array([len(k) - 8 for k, _ in entries])
-        most = np.array([p[2] for _, p in entries])
-        least = np.array([p[3] for _, p in entries])
-        forward, left = np.zeros((n, length), np.uint8), np.zeros((n, SPAN), np.uint8)
-        for i, (k, p) in enumerate(entries):
-            forward[i, : len(k) - 8] = np.frombuffer(k, np.uint8, offset=8)
+        names = np.frombuffer(b"".join(k[:16] for k, _, _ in entries), ">i8").astype(np.int64).reshape(n, 2)
+        own, copies, most, least = (np.array([p[k] for _, _, p in entries], np.int64) for k in range(4))
+        common = np.maximum(np.array([c for _, c, _ in entries]) - 16, 0)
+        left = np.zeros((n, SPAN), np.uint8)
+        for i, (_, _, p) in enumerate(entries):
             if p[4]:
                 left[i, : len(p[4])] = np.frombuffer(p[4], np.uint8)[::-1]
-        found = induce(core, forward, sizes, left, most, length)
-        found[np.array([p[1] for _, p in entries]) > 1] = True
+        number = np.concatenate([[0], np.cumsum((names[1:] != names[:-1]).any(axis=1))])
+        found = induce(number, common, left, most, length)
+        found[copies > 1] = True
         distance = np.arange(SPAN)
         found &= (distance >= least[:, None]) & (distance <= most[:, None])
         edge = np.diff(np.pad(found.astype(np.int8), ((0, 0), (1, 1))), axis=1)
@@ -267,20 +312,19 @@ def _sort_shard(length: int):
         keep = np.flatnonzero(counts)
         offsets = np.concatenate([[0], np.cumsum(counts[keep])])
         runs = pa.StructArray.from_arrays([pa.array(begin, pa.int32()), pa.array(end - 1, pa.int32())], names=["low", "high"])
-        context = np.array([p[0] for _, p in entries], np.int64)
-        return pa.record_batch([pa.array(core[keep]), pa.array(context[keep]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), runs)], names=["core", "context", "runs"])
+        return pa.record_batch([pa.array(names[keep, 0]), pa.array(names[keep, 1]), pa.array(own[keep]), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), runs)], names=["n1", "n2", "own", "runs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queue = SuffixQueue()
         for batch in batches:
-            columns = (arrow_text.column(batch, c).to_pylist() for c in ("core", "context", "copies", "most", "least", "data"))
-            for core, context, copies, most, least, data in zip(*columns, strict=True):
-                queue.push(core.to_bytes(8, "big", signed=True) + data[most:], (context, copies, most, least, data[:most]))
-        entries: list[tuple] = []
+            columns = (arrow_text.column(batch, c).to_pylist() for c in ("n1", "n2", "own", "copies", "most", "least", "data"))
+            for n1, n2, own, copies, most, least, data in zip(*columns, strict=True):
+                queue.push(n1.to_bytes(8, "big", signed=True) + n2.to_bytes(8, "big", signed=True) + data[most:], (own, copies, most, least, data[:most]))
+        entries: list[tuple[bytes, int, tuple]] = []
         for entry in queue.drain():
-            if entries and entry == entries[-1]:
+            if entries and (entry[0], entry[2][0]) == (entries[-1][0], entries[-1][2][0]):
                 continue  # the same context, cut from rows that are equal in id and text
-            if len(entries) >= INDUCED_AT_ONCE and entry[0][:8] != entries[-1][0][:8]:
+            if len(entries) >= INDUCED_AT_ONCE and entry[0][:16] != entries[-1][0][:16]:
                 yield block(entries)
                 entries = []
             entries.append(entry)
@@ -291,10 +335,10 @@ def _sort_shard(length: int):
 
 
 def _narrower(length: int, width: int):
-    """Contexts of hot names cut into ranges of at most ``width`` distances, each with the name of what all of its
-    strings share and the hash of its own context: core, context, copies, low, high, n1, n2, own, data."""
-    names = ["core", "context", "copies", "low", "high", "n1", "n2", "own", "data"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    """Contexts cut into ranges of at most ``width`` distances, each with the name of what all of its strings share, the
+    hash of its own context, and where it lies: its nearest and farthest distance, and the one that counts as 0 in it."""
+    names = ["core", "context", "copies", "begin", "low", "high", "n1", "n2", "own", "data"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_text.slices(batches, "data"):
@@ -308,30 +352,37 @@ def _narrower(length: int, width: int):
                     shared = xxhash.xxh3_128_digest(part[far - begin : far - begin - width + 1 + length], begin)
                     n1, n2 = np.frombuffer(shared, ">i8").tolist()
                     own = xxhash.xxh3_64_intdigest(part, near << 16 | far) - (1 << 63)
-                    for column, value in zip(out, (core, context, copies, near, far, n1, n2, own, part), strict=True):
+                    for column, value in zip(out, (core, context, copies, begin, near, far, n1, n2, own, part), strict=True):
                         column.append(value)
             yield pa.record_batch([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=names)
 
     return run
 
 
-def _repeated_in_hot(contexts: DataFrame, length: int) -> DataFrame:
-    """The recursion for hot names, whose contexts differ too often for one task: ranges of distances get narrower,
-    names of what their strings share get longer, and each round settles the ranges whose name is unique or stands for
-    one context. What is left differs within the range; a range of one distance is its own name, so the last round
-    settles all. Names are counted with partial aggregation."""
-    schema = "core long, context long, copies long, low int, high int, n1 long, n2 long, own long, data binary"
+def _recursed(contexts: DataFrame, length: int) -> DataFrame:
+    """core, context, runs of names that have too many contexts for one task. At each recursion ranges of distances get
+    narrower and names of what their strings share longer: a name that occurs once ends, one that stands for a single
+    context is decided, one with up to ``HOT_CONTEXTS`` is sorted and induced like any other, the rest goes on."""
+    schema = "core long, context long, copies long, begin int, low int, high int, n1 long, n2 long, own long, data binary"
     left = contexts.select("core", "context", "copies", F.col("least").alias("low"), F.col("most").alias("high"), "data")
-    runs = None
-    for width in (32, 8, 2, 1):
+    name, runs = ["n1", "n2"], []
+    for width in WIDTHS:
         ranges = stage_table(left.mapInArrow(_narrower(length, width), schema), f"ranges{width}")
-        often = ranges.groupBy("n1", "n2").agg(F.sum("copies").alias("n"), (F.min("own") == F.max("own")).alias("settled")).filter("n > 1").select("n1", "n2", "settled")
-        often = stage_table(often, f"names{width}")
-        own = ranges.select("core", "context", "low", "high", "n1", "n2").join(often.filter("settled"), ["n1", "n2"])
-        own = own.select("core", "context", F.array(F.struct("low", "high")).alias("runs"))
-        runs = own if runs is None else runs.unionAll(own)
-        left = ranges.join(often.filter("not settled"), ["n1", "n2"]).select("core", "context", "copies", "low", "high", "data")
-    return runs
+        equal = ranges.groupBy(*name, "own").agg(F.sum("copies").alias("copies"))  # equal contexts are one tuple
+        kinds = equal.groupBy(*name).agg(F.sum("copies").alias("n"), F.count("*").alias("kinds")).filter("n > 1").select(*name, "kinds")
+        kinds = stage_table(kinds, f"names{width}")
+        decided = ranges.select("core", "context", "low", "high", *name).join(kinds.filter(F.col("kinds") < SORTED_FROM), name)
+        runs.append(decided.select("core", "context", F.array(F.struct("low", "high")).alias("runs")))
+        few = kinds.filter((F.col("kinds") >= SORTED_FROM) & (F.col("kinds") <= HOT_CONTEXTS)).select(*name)
+        own = F.min(F.struct((F.col("high") - F.col("begin")).alias("most"), (F.col("low") - F.col("begin")).alias("least"), "data")).alias("at")
+        tuples = ranges.join(few, name).groupBy(*name, "own").agg(F.sum("copies").alias("copies"), own).select(*name, "own", "copies", "at.*")
+        found = stage_table(tuples.repartition(*name).mapInArrow(_sort_shard(length), _RUNS), f"runs{width}")
+        back = ranges.select("core", "context", "begin", *name, "own").join(found, [*name, "own"])
+        moved = F.transform("runs", lambda r: F.struct((r["low"] + F.col("begin")).alias("low"), (r["high"] + F.col("begin")).alias("high")))
+        runs.append(back.select("core", "context", moved.alias("runs")))
+        many = kinds.filter(F.col("kinds") > HOT_CONTEXTS).select(*name)
+        left = ranges.join(many, name).select("core", "context", "copies", "low", "high", "data")
+    return functools.reduce(DataFrame.unionAll, runs)
 
 
 KEY = ["k1", "k2"]
@@ -351,26 +402,36 @@ def repeated_runs(rows: DataFrame, length: int = 400) -> DataFrame:
     """k1, k2, spans array<struct<start,end>>: where the documents of :func:`keyed` hold repeated strings; unmerged, in any order."""
     if length < SPAN + GRAM:
         raise ValueError(f"length must be at least {SPAN + GRAM}")
+    with recorded() as made:
+        spans = _spans(rows, length)
+    delete(made, keep=spans)
+    sweep(rows.sparkSession)
+    return spans
+
+
+def _spans(rows: DataFrame, length: int) -> DataFrame:
     sample = stage_table(rows.select(*KEY, "text").mapInArrow(_samples_of(length), "core long, context long, k1 long, k2 long, p long, most int, least int"), "samples")
     names = stage_table(sample.groupBy("core").count().filter("count > 1").select("core"), "names")
     members = stage_table(sample.join(names, "core"), "members")
+    discard(sample, names)
+    sweep(rows.sparkSession)
     contexts = members.groupBy("core", "context").agg(F.count("*").alias("copies"), F.min(F.struct(*KEY, "p", "most", "least")).alias("at"))
     contexts = stage_table(contexts.select("core", "context", "copies", "at.*"), "contexts")
     kinds = stage_table(contexts.groupBy("core").agg(F.count("*").alias("kinds")), "kinds")
     contexts = stage_table(contexts.join(kinds, "core"), "named")
-    alone = contexts.filter("kinds = 1").select("core", "context", F.array(F.struct(F.col("least").alias("low"), F.col("most").alias("high"))).alias("runs"))
-    asked = contexts.filter("kinds > 1").groupBy(*KEY).agg(F.collect_list(F.struct("core", "context", "copies", "p", "most", "least", (F.col("kinds") > HOT_CONTEXTS).alias("hot"))).alias("asked"))
+    decided = contexts.filter((F.col("kinds") < SORTED_FROM) & (F.col("copies") > 1)).select("core", "context", F.array(F.struct(F.col("least").alias("low"), F.col("most").alias("high"))).alias("runs"))
+    asked = contexts.filter(F.col("kinds") >= SORTED_FROM).groupBy(*KEY).agg(F.collect_list(F.struct("core", "context", "copies", "p", "most", "least", (F.col("kinds") > HOT_CONTEXTS).alias("hot"))).alias("asked"))
     cut = rows.select(*KEY, "text").join(asked, KEY).select("text", "asked")
     cut = stage_table(cut.mapInArrow(_cut_contexts(length), "core long, context long, copies long, most int, least int, hot boolean, data binary"), "cut")
-    dealt = cut.filter("not hot").drop("hot").repartition(F.col("core"))
-    runs = alone.unionAll(dealt.mapInArrow(_sort_shard(length), "core long, context long, runs array<struct<low:int,high:int>>"))
-    runs = stage_table(runs, "runs")
-    hot = cut.filter("hot")
-    if not hot.isEmpty():
-        runs = runs.unionAll(stage_table(_repeated_in_hot(hot.dropDuplicates(["core", "context"]), length), "hot-runs"))
+    sweep(rows.sparkSession)
+    tuples = cut.filter("not hot").select(F.col("core").alias("n1"), F.lit(0).cast("long").alias("n2"), F.col("context").alias("own"), "copies", "most", "least", "data")
+    found = stage_table(tuples.repartition("n1").mapInArrow(_sort_shard(length), _RUNS), "runs").select(F.col("n1").alias("core"), F.col("own").alias("context"), "runs")
+    runs = decided.unionAll(found)
+    if not cut.filter("hot").isEmpty():
+        runs = runs.unionAll(stage_table(_recursed(cut.filter("hot").dropDuplicates(["core", "context"]), length), "hot-runs"))
     spans = members.join(runs, ["core", "context"]).select(*KEY, "p", F.explode("runs").alias("r"))
     spans = spans.select(*KEY, F.struct((F.col("p") - F.col("r.high")).alias("start"), (F.col("p") - F.col("r.low") + length).alias("end")).alias("s"))
-    return spans.groupBy(*KEY).agg(F.collect_set("s").alias("spans"))
+    return stage_table(spans.groupBy(*KEY).agg(F.collect_set("s").alias("spans")), "spans")
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
