@@ -2,8 +2,9 @@
 
 The base patterns always count. Between their matches, zones that look as if they might hold an e-mail address, an
 address of a host, a card or a telephone number in another form (``name [at] host [dot] com``, ``10[.]0[.]0[.]7``,
-``(312) 555-0199``, ``4111.1111.1111.1111``) are decoded by the field, whose spans are added. It is trained here, on
-generated zones, once for each driver.
+``(312) 555-0199``, ``4111.1111.1111.1111``), or one that a pattern took together with the figures beside it and then
+dropped (a telephone number before an address of a host, a card beside another number), are decoded by the field, whose
+spans are added. It is trained here, on generated zones, once for each driver.
 
 Defined results: a null text is the empty text and holds nothing; repeated rows give one row each; a null id stays null;
 an empty table gives an empty table; other columns are ignored. Whole texts are searched, in time linear in their
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import arrow_text
-from .semi_markov import OUTSIDE, Segment, SemiMarkov, Token, tokens
+from .semi_markov import LONGEST, OUTSIDE, TOKEN, Segment, SemiMarkov, Token, tokens
 from .storage import id_and_text
 
 KINDS = ("email", "ip", "card", "phone")
@@ -86,14 +87,31 @@ def listed(spans: list[Span]) -> str:
 
 # --- zones -----------------------------------------------------------------------------------------------------------
 _SUSPECT = re.compile(r"[0-9](?:[0-9]|[ ().\[\]/-]{1,3}(?=[0-9(\[])){6,}+|[\[({<] ?(?:at|AT|dot|DOT) ?[\])}>]|\b(?:at|AT)\b(?= [\w-]{1,40} (?:dot|DOT)\b)|[0-9]\[\.\][0-9]")
-AROUND = 40
+#: A zone reaches as many tokens beyond a suspect as a segment may have, so that no candidate crosses its edge; a token's
+#: part that lies further than so many characters back is left out.
+FURTHEST = 400
+
+
+def _reach(text: str, begin: int, end: int) -> tuple[int, int]:
+    """The place ``LONGEST`` tokens before ``begin`` and after ``end``, or where a gap that no candidate crosses comes first."""
+    low = begin
+    for k, m in enumerate(TOKEN.finditer(text[max(0, begin - FURTHEST) : begin][::-1])):
+        if k == LONGEST or m.start() - (begin - low) > 1:
+            break
+        low = begin - m.end()
+    high = end
+    for k, m in enumerate(TOKEN.finditer(text, end)):
+        if k == LONGEST or m.start() - high > 1:
+            break
+        high = m.end()
+    return low, high
 
 
 def zones(text: str, known: list[Span]) -> list[tuple[int, int]]:
     """Stretches around suspects, joined where they overlap and cut at the base spans."""
     raw: list[list[int]] = []
     for m in _SUSPECT.finditer(text):
-        a, b = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
+        a, b = _reach(text, m.start(), m.end())
         if raw and a <= raw[-1][1]:
             raw[-1][1] = max(raw[-1][1], b)
         else:
@@ -130,37 +148,79 @@ CUES = {
     "ip": "ip host server address serveur servidor adresse".split(),
 }
 _CUE = {w: kind for kind, words in CUES.items() for w in words}
-_AT, _DOT = {"at", "AT"}, {"dot", "DOT"}
+_AT, _DOT, _BRACKETS = {"at", "AT"}, {"dot", "DOT"}, set("[({<])}>")
+
+
+MOST_DIGITS = 19
+
+
+def _rows(toks: list[Token], digit: list[int]) -> list[bool]:
+    """Which figures follow other figures, with nothing but up to three marks or spaces between."""
+    out, last = [False] * len(toks), -1
+    for k, (word, begin, _) in enumerate(toks):
+        if digit[k]:
+            out[k] = last >= 0 and begin - toks[last][2] <= 3
+            last = k
+        elif word[0].isalpha():
+            last = -1
+    return out
 
 
 def candidates(toks: list[Token]) -> Iterator[tuple[int, int]]:
-    """Spans that begin and end at a word, figures or a bracketed prefix, and hold seven digits or a spelled-out at and dot."""
+    """Spans that begin and end at a word, figures or an opening mark, in order of their beginnings: seven to nineteen digits,
+    four groups of figures, or a word with a spelled-out at and dot after it. Figures that stand in a longer row of figures
+    are no candidates, unless an opening mark sets them off or they are as long as a card by themselves."""
     n = len(toks)
     digit = [len(t) if t[0].isdigit() else 0 for t, _, _ in toks]
     ats = [t in _AT for t, _, _ in toks]
     dots = [t in _DOT for t, _, _ in toks]
+    follows = _rows(toks, digit)
     for i in range(n):
         first = toks[i][0]
-        if first == "(":
+        opens = first in ("(", "+")
+        if opens:
             if i + 1 >= n or not digit[i + 1]:
                 continue
         elif not first[0].isalnum():
             continue
-        figures = 0
+        figures = groups = 0
         has_at = has_dot = False
-        for j in range(i + 1, min(n, i + 16) + 1):
-            word, begin, _ = toks[j - 1]
-            if j - 1 > i and begin - toks[j - 2][2] > 1:
+        one_word = True  # what stands before the spelled-out at
+        for j in range(i + 1, min(n, i + LONGEST) + 1):
+            k = j - 1
+            word, begin, _ = toks[k]
+            if k > i:
+                gap = begin - toks[k - 1][2]
+                if gap > 1:
+                    break
+                if ats[k]:
+                    has_at |= one_word
+                elif gap and not has_at and word not in _BRACKETS:
+                    one_word = one_word and ats[k]
+            figures += digit[k]
+            groups += digit[k] > 0
+            has_dot |= dots[k] and has_at
+            if not has_at and (figures > MOST_DIGITS or not one_word and not digit[i] and not opens):
                 break
-            figures += digit[j - 1]
-            has_at |= ats[j - 1] and j - 1 > i
-            has_dot |= dots[j - 1] and has_at
-            if word[0].isalnum() and j - i > 1 or j - i == 1 and figures >= 7:
-                numeric = figures >= 7 and (digit[j - 1] or has_at) and (first == "(" or digit[i])
-                dotted = figures >= 4 and digit[i] and digit[j - 1] and sum(1 for x in range(i, j) if digit[x]) == 4
-                spelled = has_at and has_dot and word not in _AT | _DOT and first not in _AT | _DOT and first != "("
-                if numeric or dotted or spelled:
+            if not word[0].isalnum():
+                continue
+            if has_at:
+                if has_dot and word not in _AT | _DOT and first not in _AT | _DOT and not opens:
                     yield i, j
+            elif digit[k] and (digit[i] or opens):
+                apart = opens or not follows[i] and not _followed(toks, digit, follows, k)
+                if (figures >= 7 or figures >= 4 and groups == 4 and not opens) and apart or i == k and figures >= 12:
+                    yield i, j
+
+
+def _followed(toks: list[Token], digit: list[int], follows: list[bool], k: int) -> bool:
+    """Whether other figures follow the figures at ``k``."""
+    for x in range(k + 1, min(len(toks), k + 4)):
+        if digit[x]:
+            return follows[x]
+        if toks[x][0][0].isalpha():
+            return False
+    return False
 
 
 def _bucket(n: int) -> str:
@@ -178,11 +238,11 @@ def span_features(toks: list[Token], i: int, j: int) -> list[str]:
     before = [t.lower() for t, _, _ in toks[max(0, i - 3) : i]]
     cue = next((_CUE[w] for w in reversed(before) if w in _CUE), "none")
     glued = (i > 0 and toks[i - 1][2] == toks[i][1] and toks[i - 1][0][-1] not in "([:<\"'") or (j < len(toks) and toks[j][1] == toks[j - 1][2] and (toks[j][0][0].isalnum() or toks[j][0][0] in "-/_[(="))
-    shape = "-".join(map(str, parts)) if len(parts) <= 5 else f"{len(parts)} groups"
+    shape = "-".join(map(str, parts)) if len(parts) <= 5 and len(figures) <= 20 else f"{len(parts)} groups"
     spelled = any(w in _AT for w in words) and any(w in _DOT for w in words)
     return [
         "any", f"letters {letters} spelled {spelled}", f"digits {_bucket(len(figures))} letters {letters}", f"shape {shape} letters {letters}", f"marks {marks[:6]} letters {letters} gaps {gaps}",
-        f"luhn {12 <= len(figures) <= 19 and luhn(figures)} letters {letters}", f"octets {octets} marks {marks[:6]}", f"cue {cue}", f"cue {cue} digits {_bucket(len(figures))}", f"glued {glued}",
+        f"luhn {12 <= len(figures) <= 19 and luhn(figures)} letters {letters}", f"octets {octets} marks {marks[:6]}", f"cue {cue}", f"cue {cue} digits {_bucket(len(figures))}", f"glued {glued}", f"first {words[0] if words[0] in '(+' else 'other'} digits {_bucket(len(figures))}",
         f"spelled {spelled} words {min(sum(w[0].isalnum() for w in words), 9)}", f"spelled {spelled} brackets {marks[:6]}", f"one {len(words) == 1}",
     ]
 
@@ -222,6 +282,16 @@ def generated(count: int, seed: int = 5) -> list[tuple[str, list[Span]]]:
     def ip() -> str:
         return r.choice(("[.]", "(.)")).join(str(r.randint(0, 255)) for _ in range(4))
 
+    def beside() -> tuple[str, list[Span]]:
+        """Two numbers side by side, which a pattern takes for one and drops."""
+        own = r.choice((f"+{r.randint(1, 9)} ({num(3)}) {num(3)}-{num(4)}", f"+{num(2)}-{num(2)}-{num(7)}", _card(r, True), _card(r, False)))
+        other = r.choice((".".join(str(r.randint(10, 255)) for _ in range(4)), _card(r, True), _card(r, False), num(r.randint(6, 11))))
+        kinds = [("phone" if own[0] == "+" else "card" if luhn(own) else OUTSIDE, own), ("card" if len(other) == 16 and luhn(other) else OUTSIDE, other)]
+        if own[0] != "+" and r.random() < 0.5:
+            kinds.reverse()
+        spans = [(kind, at, at + len(x)) for (kind, x), at in zip(kinds, (0, len(kinds[0][1]) + 1), strict=True) if kind != OUTSIDE]
+        return f"{kinds[0][1]} {kinds[1][1]}", spans
+
     def nothing() -> str:
         n = _card(r, False)
         return r.choice((
@@ -233,21 +303,29 @@ def generated(count: int, seed: int = 5) -> list[tuple[str, list[Span]]]:
 
     out = []
     for _ in range(count):
-        kind = r.choice((*KINDS, OUTSIDE, OUTSIDE, OUTSIDE, OUTSIDE))
-        what = {"email": email, "ip": ip, "card": card, "phone": phone, OUTSIDE: nothing}[kind]()
+        kind = r.choice((*KINDS, "beside", "beside", OUTSIDE, OUTSIDE, OUTSIDE, OUTSIDE))
+        if kind == "beside":
+            what, inner = beside()
+            kind = OUTSIDE
+        else:
+            what = {"email": email, "ip": ip, "card": card, "phone": phone, OUTSIDE: nothing}[kind]()
+            inner = [(kind, 0, len(what))] if kind != OUTSIDE else []
         cue = r.choice(CUES[kind]) + r.choice((" ", ": ")) if kind != OUTSIDE and r.random() < 0.4 else ""
         lead = " ".join(_word(r) for _ in range(r.randint(0, 4)))
         lead = f"{lead} {cue}" if lead else cue
         tail = r.choice((" ", ". ", ", ")) + " ".join(_word(r) for _ in range(r.randint(0, 4)))
-        spans = [(kind, len(lead), len(lead) + len(what))] if kind != OUTSIDE else []
-        out.append((lead + what + tail, spans))
+        out.append((lead + what + tail, [(k, len(lead) + a, len(lead) + b) for k, a, b in inner]))
     return out
 
 
-def _example(text: str, spans: list[Span]) -> tuple[list[Token], list[Segment]]:
-    toks = tokens(text)
-    begins, ends = {a: k for k, (_, a, _) in enumerate(toks)}, {b: k + 1 for k, (_, _, b) in enumerate(toks)}
-    return toks, [(begins[a], ends[b], kind) for kind, a, b in spans if a in begins and b in ends]
+def examples(generated_texts: list[tuple[str, list[Span]]]) -> Iterator[tuple[list[Token], list[Segment]]]:
+    """The zones of texts as the field meets them, between the base spans, with the segments that are to be found there."""
+    for text, spans in generated_texts:
+        base = base_spans(text)
+        for a, b in zones(text, base):
+            toks = tokens(text[a:b], a)
+            begins, ends = {x: k for k, (_, x, _) in enumerate(toks)}, {x: k + 1 for k, (_, _, x) in enumerate(toks)}
+            yield toks, [(begins[x], ends[y], kind) for kind, x, y in spans if (kind, x, y) not in base and x in begins and y in ends]
 
 
 _TRAINED: list[dict[tuple[str, str], float]] = []
@@ -255,8 +333,7 @@ _TRAINED: list[dict[tuple[str, str], float]] = []
 
 def trained_weights() -> dict[tuple[str, str], float]:
     if not _TRAINED:
-        examples = [_example(text, spans) for text, spans in generated(900) if not base_spans(text)]
-        _TRAINED.append(SemiMarkov(KINDS, candidates, span_features).fit(examples).weights)
+        _TRAINED.append(SemiMarkov(KINDS, candidates, span_features).fit(list(examples(generated(1200)))).weights)
     return _TRAINED[0]
 
 
