@@ -3,7 +3,8 @@
 Each rule votes for good (1) or bad (-1) or abstains (0). The votes of all documents, counted by pattern, go to an
 expectation-maximisation fit of a two-class model in which rules vote independently given the class; its posterior
 that a document is good decides, in place of a demand that every rule passes. There are at most 3 ** len(RULES)
-patterns, so the fit, on the driver, is bounded whatever the corpus, and it sees every document.
+patterns, so the fit, on the driver, is bounded whatever the corpus, and it sees every document. A document that one rule
+votes against is kept if the rule proves fallible and the others speak for the document; no vote decides by itself.
 
 Defined results: a null or empty text has no words, fails the base check and is not kept; repeated rows are counted and
 returned once each; a null id stays null; an empty table gives an empty table; other columns are ignored.
@@ -18,24 +19,25 @@ from pyspark.sql import functions as F
 from .storage import stage_table
 from .text_stats import beside_stats, text_stats
 
-#: How often a rule may call a good document bad, as a prior that weighs as much as the corpus. Without it the fit may
-#: take the commonest sort of junk for the bad class and leave the other sorts to the good one.
-FALSE_ALARMS = 0.005
-#: Share of the corpus added to every count, so that no single vote or abstention settles a document.
-SMOOTHING = 0.01
-RULES = ("symbols", "repeats", "copied_lines", "capitals", "exclamations", "function_words", "word_length", "figures")
+#: Pseudo-counts of the votes -1, 0 and 1 in a bad and in a good document: rules are right more often than wrong. They name
+#: the classes, and weigh as much as six documents, whatever the corpus.
+PRIOR = ((3.0, 2.0, 1.0), (1.0, 2.0, 3.0))
+PRIOR_GOOD = (4.0, 1.0)
+RULES = ("symbols", "repeats", "copied_lines", "capitals", "exclamations", "function_words", "word_length", "figures", "stops")
 
 
 def votes() -> list[Column]:
-    """In the order of ``RULES``: -1, 0 or 1. Only a trait of good prose votes for good; the lack of a fault abstains."""
+    """In the order of ``RULES``: -1, 0 or 1. Texts of fewer than 20 words get no vote. Function words of the four known
+    languages speak for a text; the lack of them says nothing, since the text may be in a fifth."""
     words, letters, lines, characters = (F.greatest(F.col(c), F.lit(1)) for c in ("n_words", "n_letters", "n_lines", "word_chars"))
-    against = lambda fault: F.when((F.col("n_words") >= 20) & fault, -1).otherwise(0)
-    either = lambda good, bad: F.when(F.col("n_words") < 20, 0).when(good, 1).when(bad, -1).otherwise(0)
+    vote = lambda good, bad: F.when(F.col("n_words") < 20, 0).when(good, 1).when(bad, -1).otherwise(0)
     share = lambda c, of: F.col(c) / of
+    never = F.lit(False)
+    symbols, capitals, size, stops = share("n_symbols", words), share("n_upper", letters), share("word_chars", words), share("n_stops", words)
     each = [
-        either(share("n_symbols", words) <= 0.02, share("n_symbols", words) >= 0.3), against(share("n_repeat_words", words) >= 0.3), against(share("n_dup_lines", lines) >= 0.4),
-        against(share("n_upper", letters) >= 0.5), against(share("n_exclaims", words) >= 0.3), either(share("n_function_words", words) >= 0.1, share("n_function_words", words) <= 0.005),
-        against(F.abs(share("word_chars", words) - 6.0) >= 6.0), against(share("n_digits", characters) >= 0.3),
+        vote(symbols <= 0.02, symbols >= 0.1), vote(never, share("n_repeat_words", words) >= 0.15), vote(never, share("n_dup_lines", lines) >= 0.2), vote(capitals <= 0.15, capitals >= 0.5),
+        vote(never, share("n_exclaims", words) >= 0.1), vote(share("n_function_words", words) >= 0.1, never), vote((size >= 4) & (size <= 6.5), (size <= 2.5) | (size >= 12)),
+        vote(never, share("n_digits", characters) >= 0.3), vote((stops >= 0.05) & (stops <= 0.35), (stops <= 0.005) | (stops >= 0.6)),
     ]
     return [v.cast("int").alias(f"vote_{r}") for r, v in zip(RULES, each, strict=True)]
 
@@ -47,22 +49,17 @@ class LabelModel:
         self.prior_good, self.chance = prior_good, chance  # chance[class, rule, vote + 1]; class 1 is good
 
     @classmethod
-    def fit(cls, votes: np.ndarray, weight: np.ndarray, rounds: int = 200, false_alarms: float = FALSE_ALARMS) -> LabelModel:
+    def fit(cls, votes: np.ndarray, weight: np.ndarray, rounds: int = 500) -> LabelModel:
         """Expectation-maximisation from the majority vote. votes: a row per pattern; weight: its documents."""
         onehot = (votes[:, :, None] == np.array([-1, 0, 1])).astype(float)
-        total = weight.sum()
-        good = 1 / (1 + np.exp(-(votes.sum(axis=1, dtype=float) + 0.5)))
-        model = cls(0.8, np.full((2, votes.shape[1], 3), 1 / 3))
+        good = 1 / (1 + np.exp(-votes.sum(axis=1, dtype=float)))
+        model = cls(0.5, np.full((2, votes.shape[1], 3), 1 / 3))
         for _ in range(rounds):
             before = good
             for k, belief in enumerate((1 - good, good)):
-                mass = np.einsum("p,prv->rv", weight * belief, onehot) + 1 + SMOOTHING * total
+                mass = np.einsum("p,prv->rv", weight * belief, onehot) + np.array(PRIOR[k])
                 model.chance[k] = mass / mass.sum(axis=1, keepdims=True)
-                if k == 1:
-                    alarm = (mass[:, 0] + total * false_alarms) / (mass.sum(axis=1) + total)
-                    rest = mass[:, 1:] / mass[:, 1:].sum(axis=1, keepdims=True)
-                    model.chance[k] = np.column_stack([alarm, (1 - alarm)[:, None] * rest])
-            model.prior_good = float((weight @ good + 1) / (total + 2))
+            model.prior_good = float((weight @ good + PRIOR_GOOD[0]) / (weight.sum() + sum(PRIOR_GOOD)))
             good = model.posterior(votes)
             if np.abs(good - before).max(initial=0) < 1e-9:
                 break
