@@ -1,10 +1,13 @@
 """Hierarchical residual best-fit packing.
 
-Every partition cuts its documents into pieces and packs them best-fit, longest first. Bins with next to no room left
-are final. The others rise as items, with their pieces inside, through a tree: each node takes the open bins of
-``FAN_IN`` nodes below and packs them best-fit again. After best-fit no two bins of a node fit together, so at most
-one of them is half empty and the rest can only take in smaller bins; a node hands up the ``CARRY`` roomiest and closes
-the others as they are, which bounds every task and loses no piece.
+Every partition packs its pieces best-fit, longest first. Bins with next to no room left are final. Others rise as items,
+with their pieces inside, through a tree: each node takes bins of ``FAN_IN`` nodes below and packs them best-fit again.
+
+Which bins have to rise is no matter of a limit. After best-fit no two bins of a node fit together, so at most one of them
+is half empty, and only that one can still be taken in by another bin. Each node above meets at most ``FAN_IN`` such bins,
+and each of them needs at most one host; whatever hosts serve, the roomiest serve as well. So a node hands up its half-empty
+bin and as many of its roomiest bins as all nodes above it together could fill, ``FAN_IN`` for each level, and closes
+the rest: handing up every bin would save no sequence more. Pieces are dealt out so that a partition holds a bounded number.
 
 Defined results: a null text is the empty text and still holds the end id; repeated rows are packed once each; a null
 id stays null; an empty table gives an empty table; other columns are ignored. Texts are encoded whole.
@@ -25,7 +28,9 @@ from . import arrow_text
 from .bpe import Model, WordCache, kept_in_worker, read_source, worker_model
 from .storage import id_and_text, stage_table
 
-FAN_IN, CARRY = 8, 20_000
+FAN_IN = 8
+#: Pieces that a partition packs at first.
+PIECES = 1 << 19
 _PIECE = "struct<doc_id:long,piece:int,start:long,length:long,ids_crc32:long>"
 _PIECE_TYPE = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
@@ -89,8 +94,9 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_c
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _pack_round(level: int, capacity: int, nearly_full: int, last: bool):
-    """Packs a partition's items, each an array of pieces, into bins: sequence_id, final, pieces."""
+def _pack_round(level: int, capacity: int, nearly_full: int, hosts: int):
+    """Packs a partition's items, each an array of pieces, into bins: sequence_id, final, pieces. hosts: how many of the
+    roomiest bins rise beside the half-empty one; none from the last node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = [b.column(0) for b in batches if b.num_rows]
@@ -100,9 +106,10 @@ def _pack_round(level: int, capacity: int, nearly_full: int, last: bool):
         totals = np.add.reduceat(np.append(inside.flatten().field("length").to_numpy(), 0), inside.offsets.to_numpy()[:-1] - inside.offsets[0].as_py()).tolist()
         bins = best_fit(totals, capacity)
         fill = np.array([sum(map(totals.__getitem__, b)) for b in bins])
-        final = (fill >= nearly_full) | last
-        if (waiting := np.flatnonzero(~final)).size > CARRY:
-            final[waiting[np.argsort(fill[waiting], kind="stable")[CARRY:]]] = True
+        final = np.ones(fill.size, bool)
+        if hosts:
+            final[np.argsort(fill, kind="stable")[: hosts + 1]] = False
+            final |= fill >= nearly_full
         base = (level << 56) | (TaskContext.get().partitionId() << 32)
         order = np.array([i for b in bins for i in b])
         flat = inside.take(pa.array(order))
@@ -120,12 +127,15 @@ def pack(pieces: DataFrame, capacity: int, slack: int = 4) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset. A bin with at most ``slack`` tokens of room is final at once."""
     schema = f"sequence_id long, final boolean, pieces array<{_PIECE}>"
     items = pieces.select(F.array(F.struct("doc_id", "piece", "start", "length", "ids_crc32")).alias("pieces"))
-    parts, level, done = items.rdd.getNumPartitions(), 0, []
+    parts, level, done = max(1, items.rdd.getNumPartitions(), -(-pieces.count() // PIECES)), 0, []
+    items = items.repartition(parts)
+    above = 0
+    while FAN_IN**above < parts:
+        above += 1
     while True:
-        last = parts <= 1
-        bins = stage_table(items.mapInArrow(_pack_round(level, capacity, capacity - slack, last), schema), f"bins{level}")
+        bins = stage_table(items.mapInArrow(_pack_round(level, capacity, capacity - slack, FAN_IN * (above - level)), schema), f"bins{level}")
         done.append(bins.filter("final"))
-        if last:
+        if level == above:
             break
         parts, level = -(-parts // FAN_IN), level + 1
         items = bins.filter("not final").select("pieces").repartition(parts)
