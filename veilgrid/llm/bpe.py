@@ -22,8 +22,9 @@ import numpy as np
 from tokenizers import Tokenizer
 
 MATRIX_WORD, LONG_WORD = 48, 400
-#: So many words are remembered; when there are more, the memory starts anew.
-WORD_LIMIT = 600_000
+#: So many words, of so many bytes together, are remembered; when there are more, the memory starts anew. Longer words
+#: are forgotten with the slice they come from.
+WORD_LIMIT, BYTE_LIMIT = 600_000, 24 << 20
 _NEVER = np.int32(2**31 - 1)
 _NO_RANK = 1 << 60
 
@@ -161,6 +162,14 @@ _L, _N = _class("L"), _class("N")
 #: In texts of these characters alone, this module's patterns say what the library's own say; others are left to the library.
 _PLAIN = re.compile("[\t-\r -~\xa0-ɏ‐-‧]*")
 _ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+#: The settings of a tokenizer file for which a pattern says what they do, without normaliser or with the one given.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_WORD_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+_WORD_NORMALISER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SETTINGS = {
+    "bytes": (None, _BYTE_LEVEL),
+    "words": (_WORD_NORMALISER, {"type": "Sequence", "pretokenizers": [_WORD_SPLIT, {**_BYTE_LEVEL, "use_regex": False}]}),
+}
 PATTERNS = {
     "bytes": re.compile(rf"{_ENDINGS}| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+"),
     "words": re.compile(rf"{_ENDINGS}|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+"),
@@ -173,6 +182,12 @@ class Model:
     def __init__(self, source: str) -> None:
         spec = json.loads(source)
         model = spec["model"]
+        if model.get("type") != "BPE" or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")):
+            raise ValueError("only plain byte-pair encoding is supported")
+        if "ByteLevel" not in json.dumps(spec.get("pre_tokenizer")):
+            raise ValueError("only byte-level pre-tokenisers are supported")
+        if any(t.get(k) for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens must match as they are")
         self.library = Tokenizer.from_str(source)
         self.suffix: str = model.get("end_of_word_suffix") or ""
         self.vocab: dict[str, int] = model["vocab"]
@@ -182,8 +197,10 @@ class Model:
         self.text_of = {i: t for t, i in (self.vocab | self.special).items()}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
-        self.pattern = PATTERNS["words" if self.suffix else "bytes"]
-        self.lowered = bool(self.suffix)
+        #: Where the file's settings are known, plain texts are cut by a pattern; the library's own components cut all others.
+        known = [k for k, settings in SETTINGS.items() if settings == (spec.get("normalizer"), spec.get("pre_tokenizer"))]
+        self.pattern = PATTERNS[known[0]] if known else None
+        self.lowered = known == ["words"]
         ids = lambda texts: np.array([self.vocab[t] for t in texts])
         self.arrays = RankArrays(ids(a for a, _ in pairs), ids(b for _, b in pairs), ids(a + b for a, b in pairs))
         self.first_ids = ids(ALPHABET).astype(np.int32)
@@ -197,7 +214,7 @@ class Model:
 
     def pretokens(self, segment: str) -> list[str]:
         """The pre-tokens, as text; where the library has to cut, as text in the byte alphabet behind a NUL."""
-        if _PLAIN.fullmatch(segment):
+        if self.pattern is not None and _PLAIN.fullmatch(segment):
             return self.pattern.findall(segment.lower() if self.lowered else segment)
         if self.library.normalizer is not None:
             segment = self.library.normalizer.normalize_str(segment)
@@ -263,6 +280,7 @@ class WordCache(dict):
     def __init__(self, model: Model, make: Callable[[list[str]], Iterable]) -> None:
         super().__init__()
         self.model, self.make = model, make
+        self.bytes, self.passing = 0, []
 
     def cut(self, texts: list[str]) -> list[list[tuple[list[str], int | None]]]:
         """For each text its stretches: pre-tokens, all of them known to the cache from now on, or a special id."""
@@ -273,12 +291,19 @@ class WordCache(dict):
                 if special is None:
                     fresh.update(words)
             out.append(stretches)
+        for word in self.passing:
+            del self[word]
         missing = fresh.difference(self)
-        if len(self) + len(missing) > WORD_LIMIT:
+        size = sum(map(len, missing))
+        if len(self) + len(missing) > WORD_LIMIT or self.bytes + size > BYTE_LIMIT:
             self.clear()
+            self.bytes = 0
             missing = fresh
+            size = sum(map(len, missing))
         words = sorted(missing)
         self.update(zip(words, self.make(words), strict=True))
+        self.passing = [w for w in words if len(w) > LONG_WORD]
+        self.bytes += size - sum(map(len, self.passing))
         return out
 
 

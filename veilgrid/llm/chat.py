@@ -21,14 +21,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: What stands for a character after the escape character.
+_LETTERS = {"\\": "s", "#": "h", "<": "l", ":": "c", "\n": "n", "[": "b", "|": "p", ">": "g", "\x1e": "r", " ": "w"}
+
+
 @dataclass(frozen=True)
 class Template:
+    """Control strings and the roles that are trained on. A template that could not be read back is refused."""
+
     open_turn: str = "### "
     after_role: str = ": "
     close_turn: str = "</turn>\n"
     trained: tuple[str, ...] = ("assistant",)
-    #: Escapes of the characters that may not stand in a text or role; the escape character comes first.
-    escapes: tuple[tuple[str, str], ...] = (("\\", "\\s"), ("#", "\\h"), ("<", "\\l"), (":", "\\c"))
+    escape_character: str = "\\"
     #: state -> role -> next state. Any other role leads to the state that refuses everything.
     machine: dict[str, dict[str, str]] = field(
         default_factory=lambda: {
@@ -40,6 +45,25 @@ class Template:
     )
     accepting: tuple[str, ...] = ("asked", "answered")
 
+    @property
+    def escapes(self) -> tuple[tuple[str, str], ...]:
+        """(character, escape) of the characters that may not stand in a text or role, the escape character first: with the
+        first character of every control string escaped, none of them can begin where the template did not put it."""
+        first = dict.fromkeys((self.escape_character, *(c[:1] for c in (self.open_turn, self.close_turn, self.after_role))))
+        return tuple((c, self.escape_character + _LETTERS[c]) for c in first)
+
+    def __post_init__(self) -> None:
+        controls = (self.open_turn, self.after_role, self.close_turn)
+        if not all(controls) or len(self.escape_character) != 1:
+            raise ValueError("control strings must not be empty, and the escape character must be one character")
+        if any(self.escape_character in c for c in controls):
+            raise ValueError("control strings must not hold the escape character")
+        if not {c[0] for c in (*controls, self.escape_character)} <= set(_LETTERS):
+            raise ValueError(f"control strings must begin with one of {sorted(_LETTERS)}")
+        for control in (self.open_turn, self.after_role):  # the end of a turn must not begin inside another control string
+            if any(control.startswith(self.close_turn, k) or self.close_turn.startswith(control[k:]) for k in range(len(control))):
+                raise ValueError("the end of a turn must not begin inside another control string")
+
 
 DEFAULT = Template()
 REFUSED = "refused"
@@ -81,7 +105,8 @@ def format_conversations(rows: DataFrame, template: Template = DEFAULT) -> DataF
 
 def read_back(formatted: DataFrame, template: Template = DEFAULT) -> DataFrame:
     """conv_id, turns array<struct<role,text>> from the formatted text, trained array<string> from the loss mask, formatted, valid."""
-    pieces = F.split(F.col("formatted"), template.close_turn.replace("/", "\\/"))
+    literal = "".join(f"\\x{{{ord(c):x}}}" for c in template.close_turn)  # each character as itself, none as an operator
+    pieces = F.split(F.col("formatted"), literal)
     pieces = F.slice(pieces, F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(0)))
 
     def turn(piece: Column) -> Column:
