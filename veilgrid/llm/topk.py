@@ -1,11 +1,13 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
-Candidates are sorted by length and cut into buckets, each a block of vectors of nearly the same length; queries are cut
-into blocks. A first round meets every query with the longest buckets and leaves each query a score that its k-th best
+Candidates are sorted by length and cut into buckets, each a block of vectors of nearly the same length, eight or so to a slot; queries are cut
+into blocks. A first round meets every query with the longest bucket and leaves each query a score that its k-th best
 cannot fall below. In the second round that score becomes, for each bucket, a local cosine threshold: the least cosine
-a member needs, given its length, to enter the result. A threshold above 1 skips the bucket; a high one prunes by
-coordinates (a member's largest query coordinates must lie in the interval that the threshold leaves); a low one prunes
-by length alone. What is left is verified by exact integer products.
+a member needs, given its length, to enter the result. Headers (the longest member of a slot, the least length that
+some query of a block needs) are joined first, and a block is sent only to the slots where a threshold can be met. There a
+threshold above 1 skips the bucket; a high one prunes by coordinates (a member's largest query coordinates must lie in
+the interval that the threshold leaves); a low one prunes by length alone. What is left is verified by exact integer
+products.
 
 Every bound is widened by a relative ``SLACK`` so that rounding never drops a tie, and pruning needs a strictly lower
 bound, so ties go to the smaller id among all rows.
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -172,6 +174,29 @@ def _meet(k: int):
     return run
 
 
+def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The header of each query block: its number, and the least length a candidate needs to enter the result of some query."""
+    for batch in batches:
+        need = []
+        for r in batch.to_pylist():
+            q_ids, q = _matrix(r["q_ids"], r["q_data"], r["q_width"], r["q_width"])
+            known = {x["query_id"]: x["floor"] for x in r["floors"] or ()}
+            floor = np.array([known.get(i, 0) for i in q_ids.tolist()], float)
+            length = np.sqrt((q.astype(float) ** 2).sum(axis=1))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                each = np.where(floor > 0, floor / length, 0.0)
+            need.append(float(each.min()) * (1 - SLACK))
+        yield pa.record_batch([batch.column(batch.schema.get_field_index("q_number")), pa.array(need, pa.float64())], names=["q_number", "need"])
+
+
+#: Lengths fall into so many cells for each doubling, of which there are fewer than ``DOUBLINGS`` below the largest length.
+CELLS, DOUBLINGS = 64, 48
+
+
+def _cell(length: Column) -> Column:
+    return F.floor(F.log2(length + 1) * CELLS).cast("int")
+
+
 def _best(scored: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -189,16 +214,21 @@ def top_k(rows: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_col
     asked = vectors.filter(F.pmod("vec_id", F.lit(every)) == 0)
     blocks = stage_table(asked.repartition(max(1, slots // every), "vec_id").mapInArrow(_blocks(QUERIES), _BLOCK), "queries")
     blocks = blocks.select(*(F.col(c).alias(f"q_{c}") for c in ("number", "longest", "n", "width", "ids", "data")))
-    # A bucket belongs to a slot; query blocks go to every slot, as the stated query set meets all rows.
     slotted = buckets.withColumn("slot", (F.shiftright("number", 32) + (F.col("number") % 4294967296)) % slots)
-    longest = F.broadcast(buckets.filter("number = 0"))  # one bucket: at most BUCKET vectors
+    first = buckets.agg(F.min("number")).first()[0]  # the longest bucket
+    longest = F.broadcast(buckets.filter(F.col("number") == F.lit(first)).withColumn("number", F.lit(0).cast("long")))  # one bucket: at most BUCKET vectors
     result = "q_number long, query_id long, vec_id long, score long"
-    pair = ["number", "width", "ids", "data", "q_number", "q_width", "q_ids", "q_data", "floors"]
+    pair = ["width", "ids", "data", "q_number", "q_width", "q_ids", "q_data", "floors"]
     unknown = F.lit(None).cast("array<struct<query_id:long,floor:long>>").alias("floors")
     seeds = stage_table(blocks.withColumn("number", F.pmod("q_number", F.lit(1))).join(longest, "number").select(*pair[:-1], unknown).mapInArrow(_meet(k), result), "seeds")
     floors = _best(seeds, k).filter(F.col("rank") == k).groupBy("q_number").agg(F.collect_list(F.struct("query_id", F.col("score").alias("floor"))).alias("floors"))
-    spread = blocks.join(floors, "q_number", "left").withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))))
-    rest = spread.join(slotted.filter("number <> 0"), "slot").select(*pair).mapInArrow(_meet(k), result)
+    blocks = stage_table(blocks.join(floors, "q_number", "left"), "floored")
+    # Headers first: a block meets the slots whose longest member is as long as one of its queries needs.
+    heads = slotted.filter(F.col("number") != F.lit(first)).groupBy("slot").agg(F.max("longest").alias("longest")).withColumn("reach", F.sqrt("longest") * (1 + SLACK))
+    heads = heads.select("slot", "reach", _cell(F.col("reach")).alias("cell"))
+    needs = blocks.mapInArrow(_needed, "q_number long, need double").withColumn("cell", F.explode(F.sequence(_cell(F.col("need")), F.lit(DOUBLINGS * CELLS))))
+    meetings = needs.join(heads, "cell").filter("reach >= need").select("q_number", "slot")
+    rest = blocks.join(meetings, "q_number").join(slotted.filter(F.col("number") != F.lit(first)), "slot").select(*pair).mapInArrow(_meet(k), result)
     out = _best(seeds.unionAll(rest), k)
     return out.select("query_id", "rank", "vec_id", "score")
 
