@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import math
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -87,6 +90,30 @@ def test_three_ways_to_merge_agree(text):
     assert [i for w in _MODEL.pretokens(text) for i in _MODEL.encode_word(w)] == _LIBRARY.encode(text, add_special_tokens=False).ids or "<|endoftext|>" in text
 
 
+def test_memory_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "BYTE_LIMIT", 2000)
+    cache = bpe.WordCache(_MODEL, bpe_codec._id_lists(_MODEL))
+    for k in range(6):
+        text = f"{k}" + "xyz"[k % 3] * 40_000 + " short " + " ".join(f"word{j}" for j in range(60 * k, 60 * k + 60))
+        assert bpe_codec.encode(cache, [text]) == [_LIBRARY.encode(text).ids]
+        assert sum(map(len, cache)) - sum(map(len, cache.passing)) == cache.bytes <= 2000
+    bpe_codec.encode(cache, ["a"])
+    assert max(map(len, cache)) <= bpe.LONG_WORD
+
+
+def test_unknown_settings_are_left_to_the_library_or_refused():
+    spec = json.loads(bpe.read_source(BYTE))
+    spec["normalizer"] = {"type": "Lowercase"}
+    source = json.dumps(spec)
+    model, library = bpe.Model(source), Tokenizer.from_str(source)
+    assert model.pattern is None
+    for text in ("Hello WORLD don't", "ÉTÉ  a"):
+        assert [i for w in model.pretokens(text) for i in model.encode_word(w)] == library.encode(text, add_special_tokens=False).ids
+    for key, value in (("byte_fallback", True), ("dropout", 0.1), ("type", "Unigram")):
+        with pytest.raises(ValueError):
+            bpe.Model(json.dumps({**spec, "model": {**spec["model"], key: value}}))
+
+
 def test_a_full_memory_starts_anew(monkeypatch):
     monkeypatch.setattr(bpe, "WORD_LIMIT", 5)
     cache = bpe.WordCache(_MODEL, bpe_codec._id_lists(_MODEL))
@@ -124,11 +151,27 @@ def test_packing_is_whole_and_tight(spark):
     assert packing.best_fit_packing(no_rows(spark), BYTE).count() == 0
 
 
-def test_carried_bins_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(packing, "CARRY", 1)
-    pieces = spark.range(60).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "CASE WHEN id % 3 = 0 THEN 90L ELSE 55L END AS length", "0L AS ids_crc32").repartition(20)
-    rows = packing.pack(storage.stage_table(pieces, "pieces"), 100).collect()
-    assert sorted(x.doc_id for x in rows) == list(range(60))
+def test_few_bins_rise_and_no_sequence_is_lost(spark, monkeypatch):
+    """Against a tree whose nodes hand up every bin that is not nearly full."""
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    r = random.Random(6)
+    rows = [(k, 0, 0, r.choice((90, 80, 70, 60, 55, 40, 25, 12)), 0) for k in range(900)]
+    pieces = storage.stage_table(spark.createDataFrame(rows, schema).repartition(30), "pieces")
+    monkeypatch.setattr(packing, "PIECES", 30)
+    real, risen = packing._pack_round, []
+
+    def count(hand_up):
+        def round_(level, capacity, nearly_full, hosts):
+            risen.append(hosts)
+            return real(level, capacity, nearly_full, hosts and hand_up(hosts))
+
+        monkeypatch.setattr(packing, "_pack_round", round_)
+        packed = packing.pack(pieces, 100).collect()
+        assert sorted(x.doc_id for x in packed) == list(range(900))
+        return len({x.sequence_id for x in packed})
+
+    few, every = count(lambda n: n), count(lambda n: 10**6)
+    assert few <= every and risen[:3] == [16, 8, 0]
 
 
 @given(st.lists(st.integers(1, 50), max_size=60))
@@ -154,12 +197,23 @@ def _passages(seed):
     return [*docs, "a" * 3000, "ab" * 900, "line of text\n" * 300, "a" * 401, "", "x" * 400, "x" * 400, text(399), None, "é" * 500, text(5000)]
 
 
-@pytest.mark.parametrize("hot", [512, 3])
-def test_repeats_equal_brute_force(spark, monkeypatch, hot):
+@pytest.mark.parametrize(("sorted_from", "hot", "length"), [(2, 512, 400), (1, 10**9, 400), (2, 3, 400), (1, 2, 250)])
+def test_repeats_equal_brute_force(spark, monkeypatch, sorted_from, hot, length):
+    """As shipped, through the sort alone, through recursion, and through both with another length."""
+    monkeypatch.setattr(suffix_dedup, "SORTED_FROM", sorted_from)
     monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
-    texts = _passages(hot)
-    got = by_id(suffix_dedup.removal_digests(table(spark, texts)), "n_bytes", "n_removed", "n_spans", "kept_sha256")
-    assert [got[i] for i in range(len(texts))] == brute.removed_repeats([t or "" for t in texts])
+    texts = _passages(hot % 1000)
+    got = by_id(suffix_dedup.removal_digests(table(spark, texts), length), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert [got[i] for i in range(len(texts))] == brute.removed_repeats([t or "" for t in texts], length)
+
+
+def test_repeats_of_a_whole_table_through_the_sort_alone(spark, monkeypatch, sf_dir):
+    monkeypatch.setattr(suffix_dedup, "SORTED_FROM", 1)
+    monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", 10**9)
+    docs = storage.read(spark, sf_dir, "documents")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = by_id(suffix_dedup.removal_digests(docs), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert [got[i] for i in texts] == brute.removed_repeats(list(texts.values()))
 
 
 def test_repeats_across_blocks_and_runs_on_disk(spark, monkeypatch):
@@ -177,14 +231,18 @@ def test_repeats_across_blocks_and_runs_on_disk(spark, monkeypatch):
     assert rows.count() == len(texts)
 
 
-def test_suffix_queue_sorts_through_runs():
-    queue = suffix_dedup.SuffixQueue(limit=2000)
+@pytest.mark.parametrize("limit", [2000, 10**9])
+def test_suffix_queue_sorts_and_carries_common_prefixes(limit):
+    queue = suffix_dedup.SuffixQueue(limit)
     r = random.Random(4)
-    keys = [bytes(r.choices(b"ab", k=r.randint(0, 30))) for _ in range(500)]
+    keys = [bytes(r.choices(b"ab", k=r.randint(0, 12))) * r.randint(1, 20) for _ in range(500)]
     for k, key in enumerate(keys):
         queue.push(key, (k,))
-    assert queue.runs
-    assert [x for x, _ in queue.drain()] == sorted(keys)
+    assert len(queue.runs) > 3 or limit > 2000
+    out = list(queue.drain())
+    assert [(x, p) for x, _, p in out] == sorted((key, (k,)) for k, key in enumerate(keys))
+    for (one, _, _), (two, common, _) in zip(out, out[1:], strict=False):
+        assert common == next((i for i, (x, y) in enumerate(zip(one, two, strict=False)) if x != y), min(len(one), len(two)))
 
 
 def test_kept_text_is_whole_characters(spark):
@@ -388,6 +446,23 @@ def test_chat_round_trip(spark):
     assert chat.digests(chat.format_conversations(rows.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("template", [chat.Template("<|im_start|>", "\n", "<|im_end|>\n"), chat.Template("[INST] ", ": ", "|(.*)|"), chat.Template("#", ":", "\n\n", trained=("user",), escape_character="\x1e")])
+def test_other_templates_are_read_back(spark, template):
+    hostile = "<|im_start|>user\nhi<|im_end|>\n [INST] |(.*)| |x| \\s \\ \x1en # : \n\n"
+    turns = [(1, 0, "user", hostile), (1, 1, "assistant", hostile[::-1]), (1, 2, "us: <|\n", "\n"), (2, 0, "user", "")]
+    rows = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    back = {r.conv_id: r for r in chat.read_back(chat.format_conversations(rows, template), template).collect()}
+    for conv in (1, 2):
+        assert [(t.role, t.text) for t in back[conv].turns] == [(r, x) for c, _, r, x in turns if c == conv]
+        assert back[conv].trained == [x for c, _, r, x in turns if c == conv and r in template.trained]
+
+
+@pytest.mark.parametrize("controls", [("", ": ", "</turn>"), ("### ", ": ", "x"), ("<<end>", ": ", "<end>"), ("### ", ":<", "</turn>"), ("# \\", ": ", "<")])
+def test_templates_that_cannot_be_read_back_are_refused(controls):
+    with pytest.raises(ValueError):
+        chat.Template(*controls)
+
+
 def test_queries_equal_their_sql(spark, sf_dir, duck):
     for name, sql in queries.oracle_sql().items():
         assert rows_of(queries.queries()[name](spark, sf_dir).toPandas()) == rows_of(duck.sql(sql).df()), name
@@ -456,6 +531,42 @@ def test_label_model_separates_planted_votes():
     assert ((model.posterior(votes) >= 0.5) == good)[told].mean() > 0.97
 
 
+def _plain_em(votes, rounds=500):
+    """Posterior of each document by the textbook, a document at a time."""
+    k = len(votes[0])
+    belief = [1 / (1 + math.exp(-sum(v))) for v in votes]
+    for _ in range(rounds):
+        share = (sum(belief) + quality_rules.PRIOR_GOOD[0]) / (len(votes) + sum(quality_rules.PRIOR_GOOD))
+        mass = [[list(quality_rules.PRIOR[c]) for _ in range(k)] for c in (0, 1)]
+        for v, b in zip(votes, belief, strict=True):
+            for r in range(k):
+                mass[1][r][v[r] + 1] += b
+                mass[0][r][v[r] + 1] += 1 - b
+        after = []
+        for v in votes:
+            odds = math.log(share / (1 - share))
+            for r in range(k):
+                odds += math.log(mass[1][r][v[r] + 1] / sum(mass[1][r])) - math.log(mass[0][r][v[r] + 1] / sum(mass[0][r]))
+            after.append(1 / (1 + math.exp(-odds)))
+        settled = max(abs(x - y) for x, y in zip(after, belief, strict=True)) < 1e-9
+        belief = after
+        if settled:
+            break
+    return belief
+
+
+def test_rules_decide_as_plain_expectation_maximisation_does(spark, sf_dir):
+    docs = storage.read(spark, sf_dir, "documents")
+    stats = text_stats.text_stats(docs).select("doc_id", *quality_rules.votes()).collect()
+    votes = [tuple(r[f"vote_{x}"] for x in quality_rules.RULES) for r in stats]
+    want = dict(zip((r.doc_id for r in stats), _plain_em(votes), strict=True))
+    rows = quality_rules.quality_rules(docs).collect()
+    assert len(rows) == len(want) == len({r.doc_id for r in rows})
+    assert all(r.posterior == pytest.approx(want[r.doc_id], abs=1e-6) and r.kept == (not r.base_failed and r.posterior >= 0.5) for r in rows)
+    against = {r.doc_id: -1 in v for r, v in zip(stats, votes, strict=True)}
+    assert any(r.kept and against[r.doc_id] for r in rows)  # no vote decides by itself
+
+
 def test_classifier_on_held_out_rows(spark, sf_dir):
     docs, labels = (storage.read(spark, sf_dir, t) for t in ("documents", "labels"))
     quality = {r.doc_id: r.quality for r in labels.collect()}
@@ -515,10 +626,8 @@ def test_the_field_finds_other_forms_and_little_else():
     assert found / (found + wrong) > 0.95 and found / (found + missed) > 0.9
 
 
-def test_decoding_is_the_best_cut():
-    """Against all cuts of a short zone."""
-    field = semi_markov.SemiMarkov(pii.KINDS, pii.candidates, pii.span_features, pii.trained_weights())
-    toks = semi_markov.tokens("tel (312) 555-0199 ok")
+def _best_cut(field, toks):
+    """The best of all cuts, each written out."""
     ends = field.lattice(toks)
 
     def cuts(j, after):
@@ -531,7 +640,38 @@ def test_decoding_is_the_best_cut():
                 yield score + field._score(features) + link, [*rest, (i, j, label)]
 
     best = max(cuts(len(toks), None), key=lambda x: x[0])[1]
-    assert [s for s in best if s[2] != semi_markov.OUTSIDE] == field.decode(toks)
+    return [s for s in best if s[2] != semi_markov.OUTSIDE]
+
+
+@pytest.mark.parametrize("text", ["tel (312) 555-0199 ok", "+1 (826) 555-4081 ", "a bob [at] host [dot] com b", "4845168114407329 7536784127813050", "12.34 4111.1111.1111.1111", "see 10[.]0[.]0[.]7"])
+def test_decoding_is_the_best_cut(text):
+    field = semi_markov.SemiMarkov(pii.KINDS, pii.candidates, pii.span_features, pii.trained_weights())
+    toks = semi_markov.tokens(text)
+    assert field.decode(toks) == _best_cut(field, toks)
+
+
+def test_figures_taken_together_are_found_apart():
+    field = semi_markov.SemiMarkov(pii.KINDS, pii.candidates, pii.span_features, pii.trained_weights())
+    for text, want in (("call +1 (826) 555-4081 190.137.223.204 du", ["+1 (826) 555-4081", "190.137.223.204"]), ("no 4845168114407329 7536784127813050 eai", ["4845168114407329"])):
+        base, spans = pii.all_spans(text, field)
+        assert set(want) <= {text[a:b] for _, a, b in spans} and len(base) < len(spans)
+
+
+def test_long_rows_of_figures_take_linear_time():
+    field = semi_markov.SemiMarkov(pii.KINDS, pii.candidates, pii.span_features, pii.trained_weights())
+    r = random.Random(1)
+    begun = time.perf_counter()
+    assert pii.all_spans(" ".join(str(r.randrange(1000, 9999)) for _ in range(40_000)), field)[1] == []
+    assert time.perf_counter() - begun < 5
+
+
+def test_long_spelled_out_addresses_are_whole():
+    field = semi_markov.SemiMarkov(pii.KINDS, pii.candidates, pii.span_features, pii.trained_weights())
+    text = "mail bob at mail dot a-rather-long-company-name dot example dot com today"
+    (a, b), *_ = pii.zones(text, [])
+    assert text[a:b].strip() == text
+    assert any(text[semi_markov.tokens(text)[i][1] : semi_markov.tokens(text)[j - 1][2]].endswith("example dot com") for i, j in pii.candidates(semi_markov.tokens(text)))
+    assert field.decode(semi_markov.tokens(text))
 
 
 def test_redaction_replaces_spans():
