@@ -3,6 +3,7 @@ from __future__ import annotations
 import sys
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
@@ -45,7 +46,7 @@ def rows_of(frame):
     """Rows of a pandas frame as comparable tuples, columns by name, in any order."""
 
     def plain(v):
-        if v is None or v != v:
+        if pd.api.types.is_scalar(v) and pd.isna(v):
             return "none"
         if hasattr(v, "item"):
             v = v.item()

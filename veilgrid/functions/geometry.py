@@ -163,6 +163,19 @@ def spelled_boxes(detections: Column) -> Column:
     return F.filter(rounded, lambda b: (b["w"] > 0) & (b["h"] > 0))
 
 
+def paddle_boxes(reply: Column) -> Column:
+    """Boxes of a reader's JSON reply, a list of lines [quad, [text, confidence]] or a list that holds one such list: bounds cut to
+    whole numbers; lines without a sound quad and quads without area go."""
+    parsed = F.try_parse_json(reply)
+    outer = F.try_variant_get(parsed, "$", "array<variant>")
+    inner = F.try_variant_get(parsed, "$[0]", "array<variant>")
+    lines = F.coalesce(F.when((F.size(outer) == 1) & inner.isNotNull(), inner).otherwise(outer), F.array().cast("array<variant>"))
+    quads = F.transform(lines, lambda line: F.try_variant_get(line, "$[0]", "array<array<double>>"))
+    sound = F.filter(quads, lambda q: q.isNotNull() & (F.size(q) > 0) & ~F.exists(q, lambda p: p.isNull() | (F.size(p) < 2) | F.get(p, F.lit(0)).isNull() | F.get(p, F.lit(1)).isNull()))
+    sized = F.filter(F.transform(sound, quad_to_rect), lambda r: (r["x2"] > r["x1"]) & (r["y2"] > r["y1"]))
+    return F.transform(sized, lambda r: box(r["x1"], r["y1"], r["x2"] - r["x1"], r["y2"] - r["y1"]))
+
+
 def rotation_to_zero(quad: Column | str) -> Column:
     """Degrees that bring the longest edge (the first of equals) to the nearest axis, in [-45, 45]."""
 

@@ -95,3 +95,8 @@ def joined_text(texts: Column, strip: bool = True) -> Column:
     """Texts joined by a bar; blank ones are left out."""
     shown = F.transform(texts, lambda t: F.trim(t)) if strip else texts
     return F.array_join(F.filter(shown, lambda t: F.trim(t) != ""), " | ")
+
+
+def utc_now() -> Column:
+    """The time of the query in UTC, to the second, as ISO text."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")

@@ -70,3 +70,22 @@ def score_passes(score: Column, least: float) -> Column:
 def dead_letters(results: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
     """Sound rows without the error column, and failed rows."""
     return results.filter(F.col(error).isNull()).drop(error), results.filter(F.col(error).isNotNull())
+
+
+#: A global rank is cut at so many values, taken from the rows with the least hashes.
+CUTS = 200
+
+
+def global_rank(rows: DataFrame, order: str, name: str) -> DataFrame:
+    """rows with ``name``: 1, 2, ... in the order of a column (text or array of texts) over all rows. A bounded sample cuts
+    the values into ranges of about equal size; rows are ranked within their range, after the sizes of the ranges before it. Only the
+    sample and one size for each range leave the executors."""
+    cuts = [r[0] for r in rows.filter(F.col(order).isNotNull()).select(order).orderBy(F.xxhash64(order), order).limit(CUTS).collect()]
+    lit = lambda v: F.array(*map(F.lit, v)) if isinstance(v, list) else F.lit(v)
+    at = sum((F.col(order) >= lit(c)).cast("int") for c in cuts) if cuts else F.lit(0)
+    ranged = rows.withColumn("_range", F.coalesce(at, F.lit(-1)))
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"))  # at most CUTS + 2 rows
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(order))
+    placed = ranged.withColumn("_within", within).join(sizes.select("_range", before.alias("_before")), "_range")
+    return placed.withColumn(name, (F.col("_before") + F.col("_within")).cast("long")).drop("_range", "_within", "_before")

@@ -29,13 +29,12 @@ PARAMS = SHIPPED.with_(max_area=60000.0)
 MOST_AREA, AXIS_X, AXIS_Y = 60000, 0.45, 0.35
 
 
-def query(sql: str | None = None):
-    """Registers a query under the name of its function. sql: its counterpart, or None where SQL cannot say it."""
+def query(sql: str):
+    """Registers a query under the name of its function, and its counterpart."""
 
     def add(f: QueryFunction) -> QueryFunction:
         _QUERIES[f.__name__] = f
-        if sql is not None:
-            _SQL[f.__name__] = with_sql(sql)
+        _SQL[f.__name__] = with_sql(sql)
         return f
 
     return add
@@ -114,7 +113,10 @@ def xywh_to_rect(spark, sf):
     return rows.select(*_KEY, G.xywh_to_rect(G.box(F.col("x"), F.col("y"), F.col("bw"), F.col("bh"))).alias("r")).select(*_KEY, *_flat())
 
 
-@query(None)
+@query("""SELECT img_id, ix, coalesce(n[1], list_min(xs)) AS x1, coalesce(n[2], list_min(ys)) AS y1, coalesce(n[1] + n[3], list_max(xs)) AS x2, coalesce(n[2] + n[4], list_max(ys)) AS y2 FROM (
+  SELECT img_id, ix, CASE WHEN len(n) = 4 AND len(list_filter(n, lambda v: v IS NULL)) = 0 AND n[3] > 0 AND n[4] > 0 THEN n END AS n, list_transform(p, lambda v: v[1]) AS xs, list_transform(p, lambda v: v[2]) AS ys FROM (
+    SELECT img_id, ix, TRY_CAST(payload AS DOUBLE[]) AS n, TRY_CAST(payload AS DOUBLE[][]) AS p FROM (
+      SELECT img_id, ix, CAST(CASE l_linenumber % 3 WHEN 0 THEN printf('[%d,%d,%d,%d]', x1, y1, bw, bh) WHEN 1 THEN printf('[[%d,%d],[%d,%d]]', x1, y1, x2, y2) ELSE '[1,2,"z",4]' END AS JSON) AS payload FROM {det})))""")
 def box_payload_decode(spark, sf):
     number = lambda c: F.col(c).cast("string")
     as_box = F.concat(F.lit("["), F.concat_ws(",", number("x1"), number("y1"), number("bw"), number("bh")), F.lit("]"))
@@ -123,6 +125,19 @@ def box_payload_decode(spark, sf):
     return _det(spark, sf).select(*_KEY, G.box_payload(payload).alias("r")).select(*_KEY, *_flat())
 
 
+@query("""SELECT img_id, ix, x1 AS x, y1 AS y, CAST(trunc(bw + CAST(0.75 AS DOUBLE)) AS BIGINT) AS bw, bh FROM {det} WHERE l_linenumber % 4 <> 3""")
+def paddle_boxes(spark, sf):
+    """Replies of three forms: a list within a list, a bare list of lines, and one whose quad holds no numbers."""
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+    line = text("[[[", x1, ".25,", y1, ".5],[", x2 + 1, ",", y1, ".5],[", x2 + 1, ",", y2, ".5],[", x1, ".25,", y2, '.5]],["t",0.9]]')
+    bad = F.lit('[[["a",1],[2,3]],["t",0.5]]')
+    k = F.col("l_linenumber") % 4
+    reply = F.when(k == 0, text("[[", line, "]]")).when(k == 1, text("[", line, ",", bad, "]")).when(k == 2, text("[[", bad, ",null,", line, "]]")).otherwise(text("[[", bad, "]]"))
+    each = _det(spark, sf).select(*_KEY, F.explode(G.paddle_boxes(reply)).alias("b"))
+    return each.select(*_KEY, *_box_columns())
+
+
 def _raw_boxes(spark, sf) -> DataFrame:
     raw = F.array(*(F.col(c).cast("double") for c in ("x1", "y1", "bw", "bh")))
     raw = F.when(F.col("q") % 5 == 0, F.slice(raw, 1, 3)).otherwise(raw)
@@ -159,11 +174,15 @@ def parse_detections(spark, sf):
 
 @query("""SELECT img_id, ix, round(CASE WHEN a > 45 THEN 90 - a WHEN a < -45 THEN -90 - a ELSE -a END, 6) + 0.0 AS angle FROM (
   SELECT img_id, ix, CASE WHEN d > 90 THEN d - 180 WHEN d <= -90 THEN d + 180 ELSE d END AS a FROM (
-    SELECT img_id, ix, degrees(atan2(CAST(dy AS DOUBLE), CAST(dx AS DOUBLE))) AS d FROM (
-      SELECT img_id, ix, l_partkey % 50 - 25 AS dx, 3 + l_suppkey % 40 AS dy FROM {det})))""")
+    SELECT img_id, ix, degrees(CASE WHEN side > 1 THEN atan2(dx * side, -dy * side) ELSE atan2(dy, dx) END) AS d FROM (
+      SELECT img_id, ix, CAST(l_partkey % 50 - 25 AS DOUBLE) AS dx, CAST((3 + l_suppkey % 40) * (1 - 2 * (l_partkey % 2)) AS DOUBLE) AS dy,
+        CASE l_linenumber % 3 WHEN 0 THEN CAST(0.25 AS DOUBLE) WHEN 1 THEN CAST(1 AS DOUBLE) ELSE CAST(2 AS DOUBLE) END AS side FROM {det})))""")
 def rotation_to_zero(spark, sf):
-    x, y, dx, dy = F.lit(500.0), F.lit(300.0), (F.col("l_partkey") % 50 - 25).cast("double"), (3 + F.col("l_suppkey") % 40).cast("double")
-    quad = F.array(F.array(x, y), F.array(x + dx, y + dy), F.array(x + dx - dy / 4, y + dy + dx / 4), F.array(x - dy / 4, y + dx / 4))
+    """Turned rectangles whose first edge is the longest, as long as the second, or the shorter one, upwards and downwards."""
+    x, y, dx = F.lit(500.0), F.lit(300.0), (F.col("l_partkey") % 50 - 25).cast("double")
+    dy = ((3 + F.col("l_suppkey") % 40) * (1 - 2 * (F.col("l_partkey") % 2))).cast("double")
+    side = F.when(F.col("l_linenumber") % 3 == 0, 0.25).when(F.col("l_linenumber") % 3 == 1, 1.0).otherwise(2.0)
+    quad = F.array(F.array(x, y), F.array(x + dx, y + dy), F.array(x + dx - dy * side, y + dy + dx * side), F.array(x - dy * side, y + dx * side))
     return _det(spark, sf).select(*_KEY, (F.round(G.rotation_to_zero(quad), 6) + 0.0).alias("angle"))
 
 
@@ -280,19 +299,8 @@ def output_path_case(spark, sf):
 def scan_order(spark, sf):
     """Ranks over the whole listing by both orders, without one task for all rows."""
     names = relation(spark, sf, "scan").select("img_id", "name", P.parts(F.col("name")).alias("parts"))
-    by_path = _global_rank(names, "parts", F.slice("parts", 1, 2), "path_rank").select("img_id", "path_rank")
-    return by_path.join(_global_rank(names, "name", F.substring("name", 1, 20), "text_rank").select("img_id", "text_rank"), "img_id")
-
-
-def _global_rank(rows: DataFrame, order: str, lead: Column, name: str) -> DataFrame:
-    """1, 2, ... in an order whose beginning is ``lead``: the rank within a lead, after the sizes of the leads before it.
-    The one window without partitions runs over the leads, a row each."""
-    led = rows.withColumn("lead", lead)
-    sizes = led.groupBy("lead").agg(F.count("*").alias("size"))
-    before = F.coalesce(F.sum("size").over(Window.orderBy("lead").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    within = F.row_number().over(Window.partitionBy("lead").orderBy(order))
-    placed = led.withColumn("within", within).join(sizes.select("lead", before.alias("before")), "lead")
-    return placed.withColumn(name, (F.col("before") + F.col("within")).cast("long"))
+    by_path = records.global_rank(names, "parts", "path_rank").select("img_id", "path_rank")
+    return by_path.join(records.global_rank(names, "name", "text_rank").select("img_id", "text_rank"), "img_id")
 
 
 # --- filters ---------------------------------------------------------------------------------------------------------
@@ -596,12 +604,12 @@ def gt_rects(spark, sf):
     return each.groupBy("img_id").agg(F.count("*").alias("n"), F.min("r.x1").alias("x1"), F.max("r.y2").alias("y2"))
 
 
-@query("""SELECT stem, name FROM (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY string_split(name, '/')) AS k FROM (
-  SELECT 'scan_patient_' || CAST(img_id % 1000 AS VARCHAR) AS stem, regexp_replace(name, 'scan_patient_\\d+', 'scan_patient_' || CAST(img_id % 1000 AS VARCHAR)) AS name FROM {scan}
-  WHERE img_id % 7 < 4)) WHERE k = 1""")
+@query(f"""SELECT stem, name FROM (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY string_split(name, '/')) AS k FROM (
+  SELECT {_STEM} AS stem, {_SUFFIX} AS suffix, name FROM (SELECT regexp_replace(name, 'scan_patient_\\d+', 'scan_patient_' || CAST(img_id % 1000 AS VARCHAR)) AS name FROM {{scan}}))
+  WHERE suffix IN ('jpg', 'jpeg', 'png', 'bmp', 'tif', 'tiff')) WHERE k = 1""")
 def image_index_first(spark, sf):
     again = F.regexp_replace("name", F.lit(r"scan_patient_\d+"), F.concat(F.lit("scan_patient_"), (F.col("img_id") % 1000).cast("string")))
-    return I.index_by_stem(relation(spark, sf, "scan").filter("img_id % 7 < 4").select(again.alias("name")))
+    return I.index_by_stem(relation(spark, sf, "scan").select(again.alias("name")))
 
 
 @query("SELECT CASE WHEN img_id % 9 = 0 THEN 'failed' ELSE 'sound' END AS part, count(*) AS n, CAST(sum(img_id) AS BIGINT) AS ids FROM {scan} GROUP BY 1")
@@ -732,7 +740,7 @@ def mask_dilate(spark, sf):
 
 
 def _opened(spark, sf) -> DataFrame:
-    return _masks(spark, sf).withColumn("mask", masks.erode(F.col("mask"), _SIDE)).withColumn("mask", masks.dilate(F.col("mask"), _SIDE))
+    return masks.opened(_masks(spark, sf).withColumn("width", F.lit(_SIDE)), 3, 1).drop("width")
 
 
 @query(f"WITH {_PX} {_sums_sql('opened')}")
@@ -785,7 +793,9 @@ def records_scan(spark, sf):
     return parsed.select(F.col("r.name").cast("long").alias("name"), F.coalesce("r.sam3_inference_time", F.lit(0.0)).alias("sam_time"), F.col("r.erosion_diffusion_time").alias("post_time"))
 
 
-@query(None)
+@query("""WITH s AS (SELECT name, arg_max(sam_time, pos) AS sam_time FROM {sam} GROUP BY name), d AS (SELECT name, arg_max(deid_time, pos) AS deid_time FROM {deid} GROUP BY name)
+SELECT p.name, '{"name":"' || p.name || '","metrics":{"times":{"sam3_inference":' || coalesce(p.sam_time, s.sam_time, 0.0::DOUBLE) || ',"erosion_diffusion":' || coalesce(p.post_time, 0.0::DOUBLE)
+  || ',"deidentification":' || coalesce(d.deid_time, 0.0::DOUBLE) || '}}}' AS json FROM {post} p LEFT JOIN s ON p.name = s.name LEFT JOIN d ON p.name = d.name""")
 def report_json(spark, sf):
     """The final report as one JSON text per image."""
     r = report_left_join(spark, sf)
