@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from veilgrid.functions import geometry as G
@@ -177,3 +178,75 @@ def test_small_masks(spark):
     assert got.e == [all(grid[j] for j in near(k)) for k in range(30)]
     assert got.d == [any(grid[j] for j in near(k)) for k in range(30)]
     assert got.none is None and [k for k in range(30) if got.f[k]] == [y * 6 + x for y, x in itertools.product((1, 2, 3), (1, 2))]
+
+
+@pytest.mark.parametrize(("small", "at_once"), [(64, 1 << 21), (2, 7)])
+def test_merge_equals_plain_components(spark, monkeypatch, small, at_once):
+    """Images of many sizes through both ways of finding pairs."""
+    monkeypatch.setattr(cluster, "SMALL", small)
+    monkeypatch.setattr(cluster, "PAIRS_AT_ONCE", at_once)
+    r = random.Random(3)
+    rows = [(img, ix, float(r.randrange(0, 300)), float(r.randrange(0, 200))) for img in range(12) for ix in range(r.choice((1, 2, 5, 20, 90)))]
+    r.shuffle(rows)
+    dets = spark.createDataFrame(rows, "img_id long, ix long, x double, y double").select("img_id", "ix", G.rect(F.col("x"), F.col("y"), F.col("x") + 15, F.col("y") + 6).alias("r"), F.concat(F.lit(" t"), "ix", F.lit(" ")).alias("text"), F.lit(None).cast("double").alias("conf"))
+    got = {(m.img_id, m.pos): (tuple(m.r), m.text, m.conf, m.n) for m in cluster.merge_close_detections(dets, 4.0, "img_id").collect()}
+    want = {}
+    for img in range(12):
+        boxes = sorted((ix, (x, y, x + 15, y + 6)) for i, ix, x, y in rows if i == img)
+        root = {ix: ix for ix, _ in boxes}
+
+        def find(k, root=root):
+            while root[k] != k:
+                k = root[k]
+            return k
+
+        for (i, a), (j, b) in itertools.combinations(boxes, 2):
+            if max(b[0] - a[2], a[0] - b[2], b[1] - a[3], a[1] - b[3]) <= 4:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+        groups = {}
+        for ix, b in boxes:
+            groups.setdefault(find(ix), []).append((ix, b))
+        merged = [(min(b[1] for _, b in g), min(b[0] for _, b in g), k, (min(b[0] for _, b in g), min(b[1] for _, b in g), max(b[2] for _, b in g), max(b[3] for _, b in g)), " | ".join(f"t{ix}" for ix, _ in g), len(g)) for k, g in groups.items()]
+        for pos, (_, _, _, rect, text, n) in enumerate(sorted(merged)):
+            want[(img, pos)] = (rect, text, None, n)
+    assert got == want
+    near = {(c.img_id, c.i, c.j) for c in cluster.close_pairs(dets, 4.0).collect()}
+    assert near == {(img, i, j) for img in range(12) for (i, a), (j, b) in itertools.combinations(sorted((ix, (x, y, x + 15, y + 6)) for k, ix, x, y in rows if k == img), 2) if max(b[0] - a[2], a[0] - b[2], b[1] - a[3], a[1] - b[3]) <= 4}
+
+
+def test_coverage_in_blocks(spark, monkeypatch):
+    r = random.Random(9)
+    box = lambda: G.rect(F.col("x"), F.col("y"), F.col("x") + 20, F.col("y") + 8).alias("r")
+    table = lambda n: spark.createDataFrame([(r.randrange(5), k, float(r.randrange(100)), float(r.randrange(60))) for k in range(n)], "img_id long, ix long, x double, y double").select("img_id", "ix", box())
+    gt, pred = table(30), table(40)
+    whole = [sorted(map(tuple, f(gt, pred, 2.0, "img_id").collect())) for f in (evaluate.best_coverage, evaluate.outside, evaluate.per_image)]
+    monkeypatch.setattr(evaluate, "PAIRS_AT_ONCE", 3)
+    assert whole == [sorted(map(tuple, f(gt, pred, 2.0, "img_id").collect())) for f in (evaluate.best_coverage, evaluate.outside, evaluate.per_image)]
+    assert len(whole[0]) == 30
+
+
+@pytest.mark.parametrize(("width", "height", "kernel", "iterations"), [(8, 8, 3, 1), (37, 23, 5, 2), (301, 211, 9, 5)])
+def test_masks_of_any_size_are_opened(spark, width, height, kernel, iterations):
+    r = np.random.default_rng(width)
+    rows = [(k, (r.random(width * height) < 0.97).tolist(), width) for k in range(3)]
+    got = {x.k: x.mask for x in masks.opened(spark.createDataFrame(rows, "k long, mask array<boolean>, width int"), kernel, iterations).collect()}
+    for k, mask, _ in rows:
+        want = np.array(mask).reshape(height, width)
+        reach = iterations * (kernel // 2)
+        for off in (True, False):  # erosion is dilation of what is off
+            grown = ~want if off else want
+            for axis in (0, 1):
+                padded = np.pad(grown, [(reach, reach) if a == axis else (0, 0) for a in (0, 1)])
+                grown = np.lib.stride_tricks.sliding_window_view(padded, 2 * reach + 1, axis=axis).any(axis=-1)
+            want = ~grown if off else grown
+        assert got[k] == want.ravel().tolist()
+
+
+def test_ranks_over_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(records, "CUTS", 4)
+    names = ["b", "a/z", "a", "", None, "a", "c", "a-b", "d"]
+    rows = spark.createDataFrame([(n,) for n in names], "name string")
+    ranked = sorted((r["rank"], r.name) for r in records.global_rank(rows, "name", "rank").collect())
+    assert ranked == list(zip(range(1, 10), sorted(names, key=lambda n: (n is not None, n or "")), strict=True))
+    assert records.global_rank(rows.limit(0), "name", "rank").count() == 0

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from .cluster import gather, merge_close_detections, merged_array
+from .cluster import gather, merge_close_detections, merged_sweep
 
 
 @dataclass(frozen=True)
@@ -55,10 +55,8 @@ def redaction_boxes(dets: DataFrame, p: Params, key: str = "img_id") -> DataFram
 def sweep(dets: DataFrame, grid: DataFrame, key: str = "img_id") -> DataFrame:
     """Redaction rects of every parameter row of a small grid: param, value, key, r (padded), w, h.
 
-    The readings are gathered once by image; the grid, a literal of a few rows, is broadcast and not shuffled.
+    The readings are gathered once by image and meet all rows of the grid there; the grid, a literal of a few rows, goes
+    with the function that merges them.
     """
-    per_image = gather(dets, key, "w", "h").crossJoin(F.broadcast(grid))
-    r = lambda d: ~G.touches_center_ellipse(d["r"], F.col("w").cast("double"), F.col("h").cast("double"), F.col("axis_x"), F.col("axis_y")) & (F.col("max_area").isNull() | (G.rect_area(d["r"]) <= F.col("max_area")))
-    merged = per_image.withColumn("m", F.explode(merged_array(F.filter("dets", r), F.col("merge_distance"))))
-    padded = merged.withColumn("b", G.pad_and_clamp(F.col("m.r"), F.col("padding"), F.col("w"), F.col("h"))).filter("b is not null")
-    return padded.select("param", "value", key, G.xywh_to_rect(F.col("b")).alias("r"), "w", "h")
+    rows = [r.asDict() for r in grid.collect()]
+    return merged_sweep(gather(dets, key, "w", "h"), rows, key)

@@ -6,11 +6,16 @@ neither erodes nor dilates. Full-size images go through :mod:`veilgrid.operators
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from .cluster import components
+from .pixels import open_mask
 
 
 def threshold(values: Column, least: float) -> Column:
@@ -21,25 +26,47 @@ def _places(mask: Column) -> Column:
     return F.sequence(F.lit(0), F.size(mask) - 1)
 
 
-def _near(mask: Column, width: int, reach: int) -> Column:
-    """For each pixel the values in its square, those off the grid left out."""
-    height = F.floor(F.size(mask) / width).cast("int")
-    offsets = [(dy, dx) for dy in range(-reach, reach + 1) for dx in range(-reach, reach + 1)]
+def _along(mask: Column, width: int, reach: int, rows: bool, every: bool) -> Column:
+    """For each pixel whether all (or any) of its neighbours in its row, or column, up to ``reach`` away are on; those off the
+    grid are left out."""
 
     def around(k: Column) -> Column:
-        y, x = F.floor(k / width).cast("int"), k % width
-        cells = [F.when((y + dy >= 0) & (y + dy < height) & (x + dx >= 0) & (x + dx < width), F.get(mask, k + dy * width + dx)) for dy, dx in offsets]
-        return F.array_compact(F.array(*cells))
+        place, most, step = (k % width, F.lit(width), 1) if rows else (F.floor(k / width).cast("int"), F.floor(F.size(mask) / width).cast("int"), width)
+        out = F.get(mask, k)
+        for d in range(1, reach + 1):
+            for inside, at in ((place >= d, k - d * step), (place + d < most, k + d * step)):
+                near = F.when(inside, F.get(mask, at)).otherwise(every)
+                out = out & near if every else out | near
+        return out
 
     return F.transform(_places(mask), around)
 
 
 def erode(mask: Column, width: int, reach: int = 1) -> Column:
-    return F.transform(_near(mask, width, reach), lambda cells: F.forall(cells, lambda v: v))
+    """A square is a row of rows, so rows and columns are taken one after the other."""
+    return _along(_along(mask, width, reach, True, True), width, reach, False, True)
 
 
 def dilate(mask: Column, width: int, reach: int = 1) -> Column:
-    return F.transform(_near(mask, width, reach), lambda cells: F.exists(cells, lambda v: v))
+    return _along(_along(mask, width, reach, True, False), width, reach, False, False)
+
+
+def opened(masks: DataFrame, kernel: int, iterations: int, mask: str = "mask", width: str = "width") -> DataFrame:
+    """``masks`` with their masks opened, whatever their size: rows of one shape are cleaned together, by integral images, whose
+    work does not depend on the size of the kernel."""
+    at = masks.columns.index(mask), masks.columns.index(width)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cleaned = []
+            for cells, w in zip(batch.column(at[0]), batch.column(at[1]).to_pylist(), strict=True):
+                on = cells.values.to_numpy(zero_copy_only=False).reshape(-1, w)
+                cleaned.append(open_mask(np.where(on, 255, 0).astype(np.uint8), kernel, iterations).ravel() > 0)
+            ends = np.cumsum([0, *map(len, cleaned)])
+            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(cleaned) if cleaned else np.zeros(0, bool)))
+            yield batch.set_column(at[0], mask, column)
+
+    return masks.mapInArrow(run, masks.schema)
 
 
 def on_pixels(mask: Column, width: int) -> Column:

@@ -6,6 +6,7 @@ The real models are not part of this package; the stubs here are deterministic s
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
@@ -97,8 +98,12 @@ def built(factory: Callable):
     return _BUILT[factory]
 
 
-def read_text(images: DataFrame, factory: Callable[[], TextReader], passes: int = 1) -> DataFrame:
-    """name, ix, quad, text, prob: one row per reading, from name, height, width, channels, data."""
+READINGS = "readings array<struct<ix:bigint,quad:array<array<int>>,text:string,prob:double>>"
+
+
+def read_each(images: DataFrame, factory: Callable[[], TextReader], passes: int = 1) -> DataFrame:
+    """name, seconds, error, readings: a row for each image of name, height, width, channels, data. A failed image carries its
+    error and fails no other."""
     from .pixels import from_spark_image
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,16 +111,51 @@ def read_text(images: DataFrame, factory: Callable[[], TextReader], passes: int
         for f in frames:
             rows = []
             for r in f.itertuples():
-                image = from_spark_image(r.height, r.width, r.channels, r.data)
-                found = [d for options in PASSES[:passes] for d in reader.readtext(image, **options)]
-                rows += [(r.name, ix, [[int(round(v)) for v in p] for p in quad], str(text), float(prob)) for ix, (quad, text, prob) in enumerate(found) if len(quad) >= 4]
-            yield pd.DataFrame(rows, columns=["name", "ix", "quad", "text", "prob"])
+                begun, readings, error = time.perf_counter(), [], None
+                try:
+                    image = from_spark_image(r.height, r.width, r.channels, r.data)
+                    found = [d for options in PASSES[:passes] for d in reader.readtext(image, **options)]
+                    readings = [{"ix": ix, "quad": [[int(round(v)) for v in p] for p in quad], "text": str(text), "prob": float(prob)} for ix, (quad, text, prob) in enumerate(found) if len(quad) >= 4]
+                except Exception as e:  # isolated: the row carries its error
+                    error = f"{type(e).__name__}: {e}"
+                rows.append((r.name, time.perf_counter() - begun, error, readings))
+            yield pd.DataFrame(rows, columns=["name", "seconds", "error", "readings"])
+
+    return images.select("name", "height", "width", "channels", "data").mapInPandas(run, f"name string, seconds double, error string, {READINGS}")
+
+
+def read_text(images: DataFrame, factory: Callable[[], TextReader], passes: int = 1) -> DataFrame:
+    """name, ix, quad, text, prob: one row per reading."""
+    return read_each(images, factory, passes).select("name", F.inline("readings"))
+
+
+class PaddleReader:
+    """A reader of another make as a :class:`TextReader`: ``engine`` has a method ``ocr`` and is built on first use."""
+
+    def __init__(self, make: Callable[[], object]) -> None:
+        self.make, self.engine = make, None
 
-    return images.select("name", "height", "width", "channels", "data").mapInPandas(run, "name string, ix long, quad array<array<int>>, text string, prob double")
+    def readtext(self, image: np.ndarray, **options):
+        if self.engine is None:
+            self.engine = self.make()
+        try:
+            result = self.engine.ocr(image, cls=False)
+        except TypeError:  # newer engines have no such option
+            result = self.engine.ocr(image)
+        lines = result[0] if result and len(result) == 1 and isinstance(result[0], list) else result
+        out = []
+        for line in lines or []:
+            try:
+                quad = [(float(p[0]), float(p[1])) for p in line[0]]
+            except (TypeError, IndexError, ValueError):
+                continue
+            said = line[1] if len(line) > 1 and isinstance(line[1], (list, tuple)) else ("", 0.0)
+            out.append((quad, said[0], said[1]))
+        return out
 
 
 def ask_vlm(images: DataFrame, factory: Callable[[], VisionLanguageModel]) -> DataFrame:
-    """name, reply, error: a failed call becomes an error, not a failed job. images: name, content (file bytes)."""
+    """name, reply, error, seconds: a failed call becomes an error, not a failed job. images: name, content (file bytes)."""
     urls = images.select("name", P.data_url(F.col("content"), F.col("name")).alias("url"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,16 +163,18 @@ def ask_vlm(images: DataFrame, factory: Callable[[], VisionLanguageModel]) -> Da
         for f in frames:
             rows = []
             for r in f.itertuples():
+                begun, reply, error = time.perf_counter(), None, None
                 try:
-                    rows.append((r.name, model.ask(r.url), None))
+                    reply = model.ask(r.url)
                 except Exception as e:  # the caller decides what a failure means
-                    rows.append((r.name, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["name", "reply", "error"])
+                    error = f"{type(e).__name__}: {e}"
+                rows.append((r.name, reply, error, time.perf_counter() - begun))
+            yield pd.DataFrame(rows, columns=["name", "reply", "error", "seconds"])
 
-    return urls.mapInPandas(run, "name string, reply string, error string")
+    return urls.mapInPandas(run, "name string, reply string, error string, seconds double")
 
 
 def vlm_records(replies: DataFrame) -> DataFrame:
-    """name, boxes (x, y, w, h, text), error; a reply without JSON holds nothing."""
+    """name, boxes (x, y, w, h, text), error, and seconds where the replies have them; a reply without JSON holds nothing."""
     parsed = F.from_json(P.extract_json(F.coalesce("reply", F.lit(""))), schemas.REPLY)
-    return replies.select("name", F.coalesce(G.spelled_boxes(parsed["detections"]), F.array()).alias("boxes"), "error")
+    return replies.select("name", F.coalesce(G.spelled_boxes(parsed["detections"]), F.array()).alias("boxes"), "error", *(c for c in replies.columns if c == "seconds"))
