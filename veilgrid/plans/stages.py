@@ -1,11 +1,13 @@
 """The stage pipeline: segment, post-process, redact, report. Each stage is a DataFrame keyed by image name.
 
 Model calls are costly and may not repeat exactly, so a stage is written before the next one reads it. Pixels travel only
-inside the stage that needs them; the report joins records alone.
+inside the stage that needs them; the report joins records alone. What fails is listed with its stage and error, and an image
+that cannot be read stops the run unless the configuration says otherwise: no image is left out in silence.
 """
 
 from __future__ import annotations
 
+import functools
 import time
 from collections.abc import Callable, Iterator
 
@@ -18,8 +20,9 @@ from ..operators import models, pixels
 from ..operators.detections import Params, redaction_boxes
 from ..operators.records import last_of
 from ..sources.config import PipelineConfig
-from ..sources.images import read_images
-from ..sources.records import write_json_array
+from ..sources.images import list_files, read_images, require_some, scan_names, split_readable
+from ..sources.records import write_images, write_json_array
+from .events import EventLog
 
 _MASKED = "name string, height int, width int, channels int, data binary, mask binary, sam_boxes array<array<int>>, seconds double, fallback boolean, error string"
 _CROPPED = "name string, original_size array<int>, bounding_boxes array<array<int>>, triggered boolean, rotation_angle double, height int, width int, channels int, data binary, seconds double, error string"
@@ -90,13 +93,18 @@ def postprocess(segmented: DataFrame, kernel: int, iterations: int, ratio: float
     return segmented.mapInPandas(run, _CROPPED)
 
 
-def deidentify(crops: DataFrame, factory: Callable, p: Params, passes: int = 1) -> DataFrame:
-    """name, boxes: text recognition in Python, the decision in Catalyst."""
-    sound = crops.filter("error is null")
-    readings = models.read_text(sound, factory, passes).select("name", "ix", G.quad_to_rect(F.col("quad")).alias("r"), "text", F.col("prob").alias("conf"))
-    dets = readings.join(sound.select("name", F.col("width").alias("w"), F.col("height").alias("h")), "name")
-    boxes = redaction_boxes(dets, p, "name").groupBy("name").agg(F.array_sort(F.collect_list(F.struct("pos", F.array("x", "y", "bw", "bh").alias("b")))).alias("all"))
-    return sound.select("name").join(boxes, "name", "left").select("name", F.coalesce(F.transform("all", lambda s: s["b"]), F.array()).alias("boxes"))
+def recognise(crops: DataFrame, factory: Callable, passes: int = 1) -> DataFrame:
+    """name, seconds, error, readings: text recognition of the sound crops. Costly, so write it before it is read."""
+    return models.read_each(crops.filter("error is null"), factory, passes)
+
+
+def deidentify(crops: DataFrame, read: DataFrame, p: Params) -> DataFrame:
+    """name, boxes, seconds: the decision about the readings of :func:`recognise`, in Catalyst and one Arrow pass."""
+    sound = crops.filter("error is null").select("name", F.col("width").alias("w"), F.col("height").alias("h"))
+    readings = read.select("name", F.inline("readings")).select("name", "ix", G.quad_to_rect(F.col("quad")).alias("r"), "text", F.col("prob").alias("conf"))
+    boxes = redaction_boxes(readings.join(sound, "name"), p, "name").groupBy("name").agg(F.array_sort(F.collect_list(F.struct("pos", F.array("x", "y", "bw", "bh").alias("b")))).alias("all"))
+    done = read.filter("error is null").select("name", "seconds")
+    return done.join(boxes, "name", "left").select("name", F.coalesce(F.transform("all", lambda s: s["b"]), F.array().cast("array<array<int>>")).alias("boxes"), "seconds")
 
 
 def redacted_images(crops: DataFrame, boxes: DataFrame, fill: bool = True) -> DataFrame:
@@ -112,11 +120,12 @@ def redacted_images(crops: DataFrame, boxes: DataFrame, fill: bool = True) -> Da
 
 
 def build_report(segmented: DataFrame, crops: DataFrame, deid: DataFrame, empty_boxes: bool = False) -> DataFrame:
-    """The final record of each post-processed image. ``empty_boxes`` leaves the redaction boxes out, as an older report did."""
-    s = last_of(segmented.select("name", F.lit(0).alias("pos"), F.col("seconds").alias("sam_seconds")), "name", "pos")
-    d = last_of(deid.select("name", F.lit(0).alias("pos"), "boxes"), "name", "pos")
+    """The final record of each post-processed image, with the time of each stage. Of several records of one name the last
+    written counts. ``empty_boxes`` leaves the redaction boxes out, as an older report did."""
+    s = last_of(segmented.select("name", F.monotonically_increasing_id().alias("pos"), F.col("seconds").alias("sam_seconds")), "name", "pos")
+    d = last_of(deid.select("name", F.monotonically_increasing_id().alias("pos"), "boxes", F.col("seconds").alias("deid_seconds")), "name", "pos")
     zero = F.lit(0.0)
-    times = F.struct(F.coalesce("sam_seconds", zero).alias("sam3_inference"), F.coalesce("seconds", zero).alias("erosion_diffusion"), zero.alias("deidentification"))
+    times = F.struct(F.coalesce("sam_seconds", zero).alias("sam3_inference"), F.coalesce("seconds", zero).alias("erosion_diffusion"), F.coalesce("deid_seconds", zero).alias("deidentification"))
     motivation = F.when(F.col("triggered"), "several large boxes").otherwise("")
     joined = crops.filter("error is null").drop("data").join(s, "name", "left").join(d, "name", "left")
     return joined.select(
@@ -126,25 +135,80 @@ def build_report(segmented: DataFrame, crops: DataFrame, deid: DataFrame, empty_
     )
 
 
-def run(spark: SparkSession, config: PipelineConfig, segmenter: Callable = models.StubSegmenter, reader: Callable = models.StubReader) -> dict[str, DataFrame]:
-    """Runs the stages up to the configured mode over the images below ``input_path``; returns the written stage tables."""
-    stages: dict[str, DataFrame] = {}
+def mask_images(segmented: DataFrame) -> DataFrame:
+    """The masks as gray images named after their scans."""
+    name = F.concat(F.regexp_replace("name", r"(?<=[^/])\.[^./]+$", ""), F.lit("_mask.png"))
+    return segmented.filter("error is null").select(name.alias("name"), "height", "width", F.lit(1).alias("channels"), F.col("mask").alias("data"))
+
+
+#: The stages in order; a mode runs one of them over what an earlier run wrote, or all of them.
+ORDER = ("sam3", "postprocess", "deidentification", "report")
 
-    def kept(name: str, make: Callable[[], DataFrame], wanted: tuple[str, ...]) -> DataFrame:
-        path = str(config.output_dir / f"{name}.parquet")
-        if config.run_mode in wanted:
+
+class Run:
+    """One run over the images below ``input_path``, up to the configured mode."""
+
+    def __init__(self, spark: SparkSession, config: PipelineConfig, segmenter: Callable = models.StubSegmenter, reader: Callable = models.StubReader, events: EventLog | None = None) -> None:
+        self.spark, self.config, self.segmenter, self.reader = spark, config, segmenter, reader
+        self.events = events or EventLog()
+        self.tables: dict[str, DataFrame] = {}
+        #: How many files of each kind were written.
+        self.written: dict[str, int] = {}
+
+    def _table(self, name: str, stage: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """The table of a stage: written now if the mode asks for the stage, else as an earlier run left it."""
+        path = str(self.config.output_dir / f"{name}.parquet")
+        if self.config.run_mode in ("full", stage):
             make().write.mode("overwrite").parquet(path)
-        stages[name] = spark.read.parquet(path)
-        return stages[name]
-
-    last = {"sam3": 0, "postprocess": 1, "deidentification": 2, "report": 3, "full": 3}[config.run_mode]
-    segmented = kept("sam3", lambda: segment(read_images(spark, str(config.input_path), invalid="drop"), segmenter, config.prompt, config.fallback_prompt), ("full", "sam3"))
-    if last >= 1:
-        crops = kept("postprocess", lambda: postprocess(segmented, config.kernel_size, config.iterations, config.large_box_ratio), ("full", "postprocess"))
-    if last >= 2:
-        p = Params(config.merge_distance, config.max_area, config.axis_x, config.axis_y, config.proximity, config.padding)
-        deid = kept("deidentification", lambda: deidentify(crops, reader, p), ("full", "deidentification"))
-    if last >= 3:
-        final = kept("report", lambda: build_report(segmented, crops, deid), ("full", "report"))
-        write_json_array(final.orderBy("name"), str(config.output_json))
-    return stages
+        self.tables[name] = self.spark.read.parquet(path)
+        return self.tables[name]
+
+    def _artifacts(self, stage: str, folder: str, make: Callable[[], DataFrame], order: str = "rgb") -> None:
+        if self.config.save_artifacts and self.config.run_mode in ("full", stage):
+            self.written[folder] = write_images(make(), str(self.config.output_dir / folder), order)
+
+    def _scans(self) -> tuple[DataFrame, DataFrame]:
+        """Images that can be read, and those that cannot; an empty tree is an error, and so is an unreadable image unless the
+        configuration wants them listed."""
+        require_some(scan_names(list_files(self.spark, str(self.config.input_path))))
+        sound, failed = split_readable(read_images(self.spark, str(self.config.input_path)))
+        if self.config.unreadable == "fail" and (first := [r.error for r in failed.orderBy("name").limit(5).collect()]):
+            raise ValueError("; ".join(first))
+        return sound, failed
+
+    def _segment(self) -> DataFrame:
+        sound, failed = self._scans()
+        done = segment(sound, self.segmenter, self.config.prompt, self.config.fallback_prompt)
+        unread = failed.select("name", *(F.lit(None).cast(f.dataType).alias(f.name) for f in done.schema.fields[1:-1]), "error").withColumn("fallback", F.lit(False))
+        return done.unionByName(unread)
+
+    def __call__(self) -> dict[str, DataFrame]:
+        c, last = self.config, 3 if self.config.run_mode == "full" else ORDER.index(self.config.run_mode)
+        self.events("pipeline_started", mode=c.run_mode)
+        segmented = self._table("sam3", "sam3", self._segment)
+        self._artifacts("sam3", "sam3/masks", lambda: mask_images(segmented))
+        failures = [segmented.select("name", F.lit("sam3").alias("stage"), "error")]
+        if last >= 1:
+            crops = self._table("postprocess", "postprocess", lambda: postprocess(segmented.filter("error is null"), c.kernel_size, c.iterations, c.large_box_ratio))
+            self._artifacts("postprocess", "postprocess/crops", lambda: crops.filter("error is null"), "bgr")
+            failures.append(crops.select("name", F.lit("postprocess").alias("stage"), "error"))
+        if last >= 2:
+            p = Params(c.merge_distance, c.max_area, c.axis_x, c.axis_y, c.proximity, c.padding)
+            read = self._table("readings", "deidentification", lambda: recognise(crops, self.reader))
+            deid = self._table("deidentification", "deidentification", lambda: deidentify(crops, read, p))
+            self._artifacts("deidentification", "deidentification/images", lambda: redacted_images(crops, deid))
+            failures.append(read.select("name", F.lit("deidentification").alias("stage"), "error"))
+        failed = functools.reduce(DataFrame.unionAll, failures).filter("error is not null")
+        failed.write.mode("overwrite").json(str(c.output_dir / "failures.json"))
+        if last >= 3:
+            final = self._table("report", "report", lambda: build_report(segmented, crops, deid))
+            self.events("report_written", records=write_json_array(final, str(c.output_json), "name"), path=c.output_json)
+        for stage in ORDER[: last + 1]:
+            if c.run_mode in ("full", stage):
+                self.events("stage_completed", stage=stage, count=self.tables[stage].count())
+        return self.tables
+
+
+def run(spark: SparkSession, config: PipelineConfig, segmenter: Callable = models.StubSegmenter, reader: Callable = models.StubReader, events: EventLog | None = None) -> dict[str, DataFrame]:
+    """Runs the stages up to the configured mode over the images below ``input_path``; returns the written stage tables."""
+    return Run(spark, config, segmenter, reader, events)()

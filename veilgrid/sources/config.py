@@ -6,6 +6,8 @@ import tomllib
 from dataclasses import dataclass
 from pathlib import Path
 
+#: What to do about images that cannot be read: fail the run, or list them among the failures and go on.
+UNREADABLE = ("fail", "list")
 RUN_MODES = ("full", "sam3", "postprocess", "deidentification", "report")
 
 
@@ -30,6 +32,7 @@ class PipelineConfig:
     languages: tuple[str, ...] = ("en",)
     gpu: bool = False
     checkpoint: Path | None = None
+    unreadable: str = "fail"
 
 
 def _typed(section: dict, key: str, kinds: tuple[type, ...], default=None, required: bool = False):
@@ -54,6 +57,8 @@ def parse_config(text: str, base: Path, section: str = "pipeline") -> PipelineCo
     mode = _typed(raw, "run_mode", (str,), "full").strip().lower()
     if mode not in RUN_MODES:
         raise ValueError(f"run_mode must be one of {', '.join(RUN_MODES)}")
+    if (unreadable := _typed(raw, "unreadable", (str,), "fail")) not in UNREADABLE:
+        raise ValueError(f"unreadable must be one of {', '.join(UNREADABLE)}")
     languages = tuple(_typed(raw, "languages", (list,), ["en"]))
     if not languages or not all(isinstance(x, str) and x for x in languages):
         raise ValueError("languages must name at least one language")
@@ -61,7 +66,7 @@ def parse_config(text: str, base: Path, section: str = "pipeline") -> PipelineCo
     config = PipelineConfig(
         path("input_path"), path("output_dir"), path("output_json"), mode, _typed(raw, "prompt", (str,), d["prompt"].default), _typed(raw, "fallback_prompt", (str,)) or None,
         _typed(raw, "save_artifacts", (bool,), True), number("kernel_size", int), number("iterations", int), number("large_box_ratio", float), number("merge_distance", float),
-        float(limit) if limit > 0 else None, number("axis_x", float), number("axis_y", float), number("proximity", float), number("padding", int), languages, _typed(raw, "gpu", (bool,), False), path("checkpoint", False),
+        float(limit) if limit > 0 else None, number("axis_x", float), number("axis_y", float), number("proximity", float), number("padding", int), languages, _typed(raw, "gpu", (bool,), False), path("checkpoint", False), unreadable,
     )
     if config.kernel_size < 1 or config.kernel_size % 2 == 0 or config.iterations < 1 or not 0 < config.large_box_ratio <= 1:
         raise ValueError("kernel_size must be odd and positive, iterations positive, large_box_ratio in (0, 1]")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import paths as P
 
 
-def _relative(path: Column, root: str) -> Column:
+def relative(path: Column, root: str) -> Column:
     plain = F.regexp_replace(path, r"^[a-z]+:/+", "/")
     base = "/" + root.split(":", 1)[-1].strip("/") if ":/" in root else root.rstrip("/")
     return F.when(plain == base, P.file_name(plain)).otherwise(F.substr(plain, F.lit(len(base) + 2)))
@@ -17,7 +17,13 @@ def _relative(path: Column, root: str) -> Column:
 def list_files(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
     """path, name (relative to the root), length. Only the listing columns are read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", glob).load(root)
-    return files.select("path", _relative(F.col("path"), root).alias("name"), "length")
+    return files.select("path", relative(F.col("path"), root).alias("name"), "length")
+
+
+def file_contents(spark: SparkSession, root: str) -> DataFrame:
+    """name, content: whole files, unread until a filter on the name has been applied."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return files.select(relative(F.col("path"), root).alias("name"), "content")
 
 
 def scan_names(listing: DataFrame, suffixes: tuple[str, ...] = P.IMAGE_SUFFIXES) -> DataFrame:
@@ -42,7 +48,7 @@ def require_some(listing: DataFrame, what: str = "images") -> DataFrame:
 def read_images(spark: SparkSession, root: str, suffixes: tuple[str, ...] = P.IMAGE_SUFFIXES, invalid: str = "keep") -> DataFrame:
     """name, path, height, width, channels, data. invalid: keep (height -1), drop, or fail when one is read."""
     images = spark.read.format("image").option("recursiveFileLookup", True).option("dropInvalid", invalid == "drop").load(root)
-    named = images.select(_relative(F.col("image.origin"), root).alias("name"), F.col("image.origin").alias("path"), F.col("image.height").alias("height"), F.col("image.width").alias("width"), F.col("image.nChannels").alias("channels"), F.col("image.data").alias("data"))
+    named = images.select(relative(F.col("image.origin"), root).alias("name"), F.col("image.origin").alias("path"), F.col("image.height").alias("height"), F.col("image.width").alias("width"), F.col("image.nChannels").alias("channels"), F.col("image.data").alias("data"))
     named = scan_names(named, suffixes)
     if invalid == "fail":
         return named.withColumn("height", F.when(F.col("height") < 0, F.raise_error(F.concat(F.lit("unreadable image: "), "path")).cast("int")).otherwise(F.col("height")))
@@ -73,6 +79,17 @@ def last_by_stem(listing: DataFrame) -> DataFrame:
     return own.groupBy("stem").agg(F.max_by("name", P.parts(F.col("name"))).alias("name"))
 
 
+def by_file_name(listing: DataFrame) -> DataFrame:
+    """file, name: the last file of each name in path order, whatever its folder."""
+    return listing.groupBy(P.file_name(F.col("name")).alias("file")).agg(F.max_by("name", P.parts(F.col("name"))).alias("name"))
+
+
+def split_readable(images: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Images that were decoded, and name, error of those that were not."""
+    failed = images.filter("height < 0").select("name", F.concat(F.lit("could not read image: "), "path").alias("error"))
+    return images.filter("height >= 0"), failed
+
+
 def candidate_images(masks_: DataFrame) -> DataFrame:
     """mask, candidates: where the image of a mask may be, best first. masks: mask, label_image (or null), root, mask_root."""
     base = F.regexp_replace("mask", r"_mask\.png$", "")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow.fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,31 +17,39 @@ from ..operators import pixels
 from . import schemas
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def read_records(spark: SparkSession, path: str, schema: str, required: bool = True) -> DataFrame:
     """A JSON array (or lines) of records. A missing optional file is an empty table; malformed input fails."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         if required:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path, multiLine=True)
 
 
-def write_json_array(df: DataFrame, path: str) -> None:
-    """One indented JSON array, for reports of a size that one file can hold; use ``df.write.json`` for more."""
-    text = df.agg(F.to_json(F.coalesce(F.collect_list(F.struct(*df.columns)), F.array()), {"pretty": "true"}).alias("value"))
-    rows = text.first()[0]
+def write_json_array(df: DataFrame, path: str, order_by: str | None = None) -> int:
+    """One JSON array in one file, a record a line, and how many there are. The records pass through the driver a partition at a time;
+    ``df.write.json`` writes the same lines from the executors."""
     spark = df.sparkSession
+    rows = (df.orderBy(order_by) if order_by else df).select(F.to_json(F.struct(*df.columns)).alias("line"))
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    count, held = 0, ["["]
     try:
-        stream.write(bytearray(rows.encode()))
+        for row in rows.toLocalIterator():
+            held.append(("," if count else "") + "\n" + row.line)
+            count += 1
+            if len(held) >= 1000:
+                stream.write(bytearray("".join(held).encode()))
+                held = []
+        stream.write(bytearray("".join([*held, "\n]\n"]).encode()))
     finally:
         stream.close()
+    return count
 
 
 def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
@@ -71,7 +81,7 @@ def require_lists(labels: DataFrame) -> DataFrame:
 
 def read_decisions(spark: SparkSession, path: str) -> DataFrame:
     """timestamp_utc, relpath, status; malformed lines are dropped, a missing log is empty."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schemas.DECISIONS)
     return spark.read.schema(schemas.DECISIONS).option("mode", "DROPMALFORMED").csv(path, header=True)
 
@@ -87,28 +97,34 @@ def write_failures(results: DataFrame, path: str) -> int:
     return int(not failed.isEmpty())
 
 
-def png_column(images: DataFrame) -> DataFrame:
-    """name, content: PNG files of name, height, width, channels, data (RGB or gray)."""
+def png_column(images: DataFrame, order: str = "rgb") -> DataFrame:
+    """name, content: PNG files of name, height, width, channels, data (gray, or three channels in this order)."""
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             shape = lambda r: (r.height, r.width) if r.channels == 1 else (r.height, r.width, r.channels)
-            yield pd.DataFrame({"name": f["name"], "content": [pixels.encode_png(np.frombuffer(r.data, np.uint8).reshape(shape(r))) for r in f.itertuples()]})
+            decoded = [pixels.from_spark_image(r.height, r.width, r.channels, r.data) if order == "bgr" else np.frombuffer(r.data, np.uint8).reshape(shape(r)) for r in f.itertuples()]
+            yield pd.DataFrame({"name": f["name"], "content": [pixels.encode_png(x) for x in decoded]})
 
     return images.select("name", "height", "width", "channels", "data").mapInPandas(encode, "name string, content binary")
 
 
-def write_images(images: DataFrame, root: str) -> int:
-    """Writes one PNG below ``root`` for each row, from the executors, through Hadoop-readable mounts; returns how many."""
-    import os
+def write_images(images: DataFrame, root: str, order: str = "rgb") -> int:
+    """Writes one PNG below ``root`` for each row, from the executors, and returns how many, in one pass. ``root`` is a folder
+    that all executors share: a mounted path or an address that Arrow's file systems know. A file appears whole or not at all,
+    so a task may run again."""
 
-    def save(rows) -> None:
-        for r in rows:
-            target = os.path.join(root.removeprefix("file://"), r["name"])
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            with open(target, "wb") as f:
-                f.write(r["content"])
-
-    out = png_column(images).withColumn("name", P.png_path(F.col("name")))
-    out.foreachPartition(save)
-    return images.count()
+    def save(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = pa_fs.FileSystem.from_uri(root)
+        for f in frames:
+            for name, content in zip(f["name"], f["content"], strict=True):
+                target = f"{base}/{name}"
+                store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                part = f"{target}.{uuid.uuid4().hex}.part"
+                with store.open_output_stream(part) as out:
+                    out.write(content)
+                store.move(part, target)
+            yield pd.DataFrame({"n": [len(f)]})
+
+    files = png_column(images, order).withColumn("name", P.png_path(F.col("name")))
+    return files.mapInPandas(save, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
