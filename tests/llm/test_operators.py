@@ -298,47 +298,28 @@ def _linked(spark, texts):
     return got, {i: (r,) for i, r in roots.items()}
 
 
-def test_near_copies_of_a_template_are_all_linked(spark):
+def test_near_copies_lose_no_link(spark):
     r = random.Random(17)
-    words = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
-    shared, texts = words(200), []
-    for _ in range(40):
+    words = lambda n, of="w": [f"{of}{r.randrange(10**6)}" for _ in range(n)]
+    shared, template = words(200), []
+    for _ in range(40):  # texts of one template, whose copies do not sort next to each other
         own = words(40)
-        texts += [" ".join(shared + own + words(k)) for k in (0, 8)]
-    r.shuffle(texts)
-    got, want = _linked(spark, texts)
-    assert got == want and 1 < len(set(want.values())) < len(texts)
-
-
-def test_near_copies_count_a_repeated_passage_once(spark):
-    r = random.Random(23)
-    words = lambda n: [f"v{r.randrange(10**6)}" for _ in range(n)]
-    texts = []
-    for _ in range(10):
-        base, passage = words(104), words(8)
-        texts += [" ".join(base), " ".join(base + 5 * passage)]
-    got, want = _linked(spark, texts)
-    assert got == want and len(set(want.values())) == 10
-
-
-def test_near_copies_lose_no_link(spark):
-    r = random.Random(29)
-    words = lambda n: [f"u{r.randrange(10**6)}" for _ in range(n)]
-    texts = []
-    for _ in range(60):
-        base = words(124)
-        copy = base[:40] + words(1) + base[41:80] + words(1) + base[81:]  # 110 of 130 shingles in common
-        texts += [" ".join(base), " ".join(copy)]
-    got, want = _linked(spark, texts)
-    assert got == want and len(set(want.values())) == 60
-
-
-def test_near_copies_of_equal_fingerprint_are_compared(spark):
-    r = random.Random(31)
-    texts = ["again " * 300 + " ".join(f"t{r.randrange(10**6)}" for _ in range(40)) for _ in range(4)]
-    got, want = _linked(spark, texts)
-    assert len(set(brute.simhash(t) for t in texts)) == 1
-    assert got == want and len(set(want.values())) == 4
+        template += [" ".join(shared + own + words(k)) for k in (0, 8)]
+    r.shuffle(template)
+    repeated = []
+    for _ in range(10):  # a repeated passage counts once
+        base, passage = words(104, "v"), words(8, "v")
+        repeated += [" ".join(base), " ".join(base + 5 * passage)]
+    at_the_threshold = []
+    for _ in range(60):  # 110 of 130 shingles in common
+        base = words(124, "u")
+        at_the_threshold += [" ".join(base), " ".join(base[:40] + words(1, "u") + base[41:80] + words(1, "u") + base[81:])]
+    alike = ["again " * 300 + " ".join(words(40, "t")) for _ in range(4)]  # equal fingerprints of the list, unlike sets
+    assert len({brute.simhash(t) for t in alike}) == 1
+    got, want = _linked(spark, [*template, *repeated, *at_the_threshold, *alike])
+    assert got == want
+    groups = [len({want[k] for k in range(a, b)}) for a, b in ((0, 80), (80, 100), (100, 220), (220, 224))]
+    assert 1 < groups[0] < 80 and groups[1:] == [10, 60, 4]
 
 
 def test_near_copies_of_null_and_repeated_ids(spark):
