@@ -7,8 +7,8 @@ share one of the first n - ceil(t n) + 1 shingles of each, n its size; the order
 decides how many texts meet. Every pair that shares one of its first shingles is compared, so that no link is lost.
 
 Where large groups share a shingle, links are made in steps that leave fewer texts apart: under each shingle every text is
-compared with the one before it in a shuffled order, and with the first one, which joins most of a large group; this is
-repeated in new orders as long as that pays. Then every pair that is still in different components is compared.
+compared with the one before it and with the first one, in the order of how much of a text is its own, which joins most of a large
+group; this is repeated in shuffled orders as long as that pays. Then every pair that is still in different components is compared.
 
 Pairs are ruled out by bounds that hold for certain (sizes, places of the shared shingle, counts by slot); the others are
 verified on the sets themselves. Components are contracted as tables (:func:`veilgrid.llm.simhash.components`).
@@ -43,7 +43,7 @@ SLOTS = 256
 RADIUS = 2
 #: All pairs are compared once there are at most so many for each text under a shingle; until then neighbours are, while that at
 #: least halves the pairs left apart, in so many orders at most.
-PAIRS_EACH, MOST_ORDERS = 4, 6
+PAIRS_EACH, MOST_ORDERS = 64, 6
 
 
 def shingle_set(text: bytes, words_each: int) -> np.ndarray:
@@ -176,8 +176,9 @@ def _ball_pairs(nodes: DataFrame) -> DataFrame:
 
 
 def _neighbours(rooted: DataFrame, order: int) -> DataFrame:
-    """Pairs of different components under one shingle: each row with the one before it, and the first."""
-    turn = Window.partitionBy("shingle").orderBy(F.xxhash64("row", F.lit(order)), "row")
+    """Pairs of different components under one shingle: each row with the one before it, and the first. In the first order that is
+    the text with the fewest rarer shingles: of a group of copies the one with the least of its own, to which the others are closest."""
+    turn = Window.partitionBy("shingle").orderBy(F.xxhash64("row", F.lit(order)) if order else F.col("place"), "row")
     beside = [F.struct(f("row").over(turn).alias("row"), f("root").over(turn).alias("root")).alias(name) for name, f in (("before", F.lag), ("lead", F.first))]
     met = rooted.select("row", "root", *beside).select("row", "root", F.explode(F.array("before", "lead")).alias("other")).filter("other.root <> root")
     return met.select("row", F.col("other.row").alias("other")).select(*_pair("row", "other")).distinct()
