@@ -6,7 +6,7 @@ copies for the most part, but not all of them. So, second, under any fixed order
 share one of the first n - ceil(t n) + 1 shingles of each, n its size; the order puts rare shingles first, which only
 decides how many texts meet. Every pair that shares one of its first shingles is compared, so that no link is lost.
 
-Where large groups share a shingle, links are made in steps that leave fewer texts apart: under each shingle every text is
+Links are made in steps that leave fewer texts apart: with the colliding fingerprints, under each shingle every text is
 compared with the one before it and with the first one, in the order of how much of a text is its own, which joins most of a large
 group; this is repeated in shuffled orders as long as that pays. Then every pair that is still in different components is compared.
 
@@ -41,9 +41,9 @@ SAMPLED, COMMON = 16, 1 << 20
 #: A text's shingles are counted in so many slots, for a bound of what two texts share.
 SLOTS = 256
 RADIUS = 2
-#: All pairs are compared once there are at most so many for each text under a shingle; until then neighbours are, while that at
+#: Every pair is compared once there are at most so many for each text under a shingle; until then neighbours are, while that at
 #: least halves the pairs left apart, in so many orders at most.
-PAIRS_EACH, MOST_ORDERS = 64, 6
+PAIRS_EACH, MOST_ORDERS = 4, 6
 
 
 def shingle_set(text: bytes, words_each: int) -> np.ndarray:
@@ -246,23 +246,18 @@ def _rows_by_class(scan: DataFrame, words_each: int, similarity: float, id_col:
         asked = pairs.select(F.col("a").alias("row")).unionAll(pairs.select("b")).distinct()
         return _texts(scan, text, nodes.join(asked, "row"))
 
-    left, rows = _pairs_apart(met.withColumn("root", F.col("row")))
-    if left <= PAIRS_EACH * rows:
-        told = _verified(_ball_pairs(nodes).unionAll(_every_pair(met.withColumn("root", F.col("row")), similarity)).distinct(), nodes, of_pairs, words_each, similarity)
-        stars = components(told)
-    else:
-        texts = _texts(scan, text, nodes)  # read several times
-        known_texts = lambda pairs: texts
-        stars = components(_verified(_ball_pairs(nodes).unionAll(_neighbours(met.withColumn("root", F.col("row")), 0)).distinct(), nodes, known_texts, words_each, similarity))
-        for k in range(1, MOST_ORDERS + 1):
-            apart, before = _rooted(met, stars), left
-            left, rows = _pairs_apart(apart)
-            all_of_them = left <= PAIRS_EACH * rows or left > before / 2 or k == MOST_ORDERS
-            more = _verified(_every_pair(apart, similarity) if all_of_them else _neighbours(apart, k), nodes, known_texts, words_each, similarity)
-            stars = components(stars.unionAll(more))
-            discard(apart)
-            if all_of_them:
-                break
+    alone = met.withColumn("root", F.col("row"))
+    left, _ = _pairs_apart(alone)
+    stars = components(_verified(_ball_pairs(nodes).unionAll(_neighbours(alone, 0)).distinct(), nodes, of_pairs, words_each, similarity))
+    for k in range(1, MOST_ORDERS + 1):
+        apart, before = _rooted(met, stars), left
+        left, rows = _pairs_apart(apart)
+        all_of_them = left <= PAIRS_EACH * rows or left > before / 2 or k == MOST_ORDERS
+        more = _verified(_every_pair(apart, similarity) if all_of_them else _neighbours(apart, k), nodes, of_pairs, words_each, similarity)
+        stars = components(stars.unionAll(more))
+        discard(apart)
+        if all_of_them:
+            break
     of_heads = heads.join(stars.select(F.col("a").alias("head"), F.col("b").alias("root")), "head", "left").select("name", F.coalesce("root", "head").alias("root"))
     return stage_table(prints.select("file", "at", "doc_id", "same", "name").join(of_heads, "name").drop("name"), "classes")
 
