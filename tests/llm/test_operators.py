@@ -8,7 +8,7 @@ import math
 import random
 import time
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -355,6 +355,46 @@ def test_near_copies_meet_in_several_orders(spark, monkeypatch):
     assert got == want
 
 
+def _rows_of_joins(plan) -> int:
+    """The most rows that a join of an executed plan made."""
+    name, inner = plan.nodeName(), plan.children()
+    below = [inner.apply(k) for k in range(inner.size())]
+    if name.startswith("AdaptiveSparkPlan"):
+        below.append(plan.executedPlan())
+    elif "QueryStage" in name:
+        below.append(plan.plan())
+    own = plan.metrics().apply("numOutputRows").value() if "Join" in name and plan.metrics().contains("numOutputRows") else 0
+    return max([own, *map(_rows_of_joins, below)])
+
+
+def test_near_copies_of_a_large_group_are_not_all_paired(spark, monkeypatch):
+    r = random.Random(41)
+    words = lambda n: [f"g{r.randrange(10**6)}" for _ in range(n)]
+    base, texts = words(150), []
+    for k in range(240):  # a large group of copies, and as many texts too far from it
+        own = list(base)
+        for at in r.sample(range(150), 1 + k % 2 * r.randint(5, 12)):
+            own[at] = words(1)[0]
+        texts.append(" ".join(own))
+    for _ in range(20):  # 100 of 125 shingles in common: just alike, by the larger set
+        longer = words(129)
+        texts += [" ".join(longer[:104]), " ".join(longer)]
+    made, every_pair = [], near_copies._every_pair
+
+    def measured(*args):
+        pairs = every_pair(*args)
+        pairs.collect()
+        made.append(_rows_of_joins(pairs._jdf.queryExecution().executedPlan()))
+        return pairs
+
+    monkeypatch.setattr(near_copies, "_every_pair", measured)
+    got, want = _linked(spark, texts)
+    assert got == want and len({want[k] for k in range(240, 280)}) == 20
+    groups = Counter(want[k] for k in range(240))
+    assert max(groups.values()) > 100 and len(groups) > 60
+    assert made and made[0] < 5 * len(texts), made
+
+
 def test_rows_have_one_place_however_they_are_split(spark, tmp_path):
     path = str(tmp_path / "docs")
     spark.createDataFrame([(k, f"text {k} " * 50) for k in range(4000)], "doc_id long, text string").repartition(6).write.parquet(path)

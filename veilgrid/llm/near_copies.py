@@ -10,8 +10,10 @@ Links are made in steps that leave fewer texts apart: with the colliding fingerp
 compared with the one before it and with the first one, in the order of how much of a text is its own, which joins most of a large
 group; this is repeated in shuffled orders as long as that pays. Then every pair that is still in different components is compared.
 
-Pairs are ruled out by bounds that hold for certain (sizes, places of the shared shingle, counts by slot); the others are
-verified on the sets themselves. Components are contracted as tables (:func:`veilgrid.llm.simhash.components`).
+Pairs are ruled out by bounds that hold for certain; the others are verified on the sets themselves. The first shingle that
+two sets share has nothing in common before it in either, so its place in a set tells how large the other one can be
+(:func:`_reach`). Rows that reach no other size under a shingle go before rows are paired there, pairs that do not reach each
+other are not made, and the counts by slot rule out most of the rest. Components are contracted as tables (:func:`veilgrid.llm.simhash.components`).
 
 Defined results: a null text is the empty text; texts without words have the same, empty set and are copies of each
 other; a text of fewer words than a shingle has one shingle, the whole sequence; repeated rows and rows with the same id
@@ -184,11 +186,25 @@ def _neighbours(rooted: DataFrame, order: int) -> DataFrame:
     return met.select("row", F.col("other.row").alias("other")).select(*_pair("row", "other")).distinct()
 
 
-def _rooted(met: DataFrame, stars: DataFrame) -> DataFrame:
+def _reach(similarity: float) -> Column:
+    """The largest size of a set that is as similar and has its first common shingle with a set of size ``n`` at ``place`` there:
+    both have in common n - place shingles at most, and as similar sets similarity / (1 + similarity) of both sizes at least."""
+    least = similarity * (1 - 1e-9)
+    return (F.col("n") - F.col("place")) * F.lit((1 + least) / least) - F.col("n") + F.lit(1e-6)
+
+
+def _in_reach(rows: DataFrame, similarity: float) -> DataFrame:
+    """The rows without those that reach no size under their shingle, or are reached by none there."""
+    of = Window.partitionBy("shingle")
+    sized = rows.withColumn("reach", _reach(similarity)).withColumn("shortest", F.min("n").over(of)).withColumn("farthest", F.max("reach").over(of))
+    return sized.filter("reach >= shortest and n <= farthest").drop("reach", "shortest", "farthest")
+
+
+def _rooted(met: DataFrame, stars: DataFrame, similarity: float) -> DataFrame:
     """The shared shingles under which rows of different components meet, with the root of each row."""
     rooted = met.join(stars.select(F.col("a").alias("row"), F.col("b").alias("root")), "row", "left").withColumn("root", F.coalesce("root", "row"))
     of = Window.partitionBy("shingle")
-    apart = rooted.withColumn("low", F.min("root").over(of)).withColumn("high", F.max("root").over(of)).filter("low < high")
+    apart = _in_reach(rooted, similarity).withColumn("low", F.min("root").over(of)).withColumn("high", F.max("root").over(of)).filter("low < high")
     return stage_table(apart.drop("low", "high"), "apart")
 
 
@@ -199,16 +215,18 @@ def _pairs_apart(apart: DataFrame) -> tuple[float, int]:
     return left or 0.0, rows or 0
 
 
+def _meetings(apart: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of different components under each first shingle they share, but those out of reach of each other there. A pair that
+    is similar is within reach under the first one at least."""
+    sized = apart.withColumn("reach", _reach(similarity))
+    a, b = (sized.select("shingle", *(F.col(c).alias(f"{side}_{c}") for c in ("row", "n", "reach", "root"))) for side in ("a", "b"))
+    near = (F.col("a_n") <= F.col("b_reach")) & (F.col("b_n") <= F.col("a_reach"))
+    return a.join(b, "shingle").filter((F.col("a_row") < F.col("b_row")) & (F.col("a_root") != F.col("b_root")) & near)
+
+
 def _every_pair(apart: DataFrame, similarity: float) -> DataFrame:
     """All pairs of different components that share a first shingle, but those that sizes and places rule out."""
-    least = F.lit(similarity * (1 - 1e-9))
-    a, b = (apart.select("shingle", *(F.col(c).alias(f"{side}_{c}") for c in ("row", "n", "place", "root"))) for side in ("a", "b"))
-    sizes = F.least("a_n", "b_n") >= least * F.greatest("a_n", "b_n")
-    pairs = a.join(b, "shingle").filter((F.col("a_row") < F.col("b_row")) & (F.col("a_root") != F.col("b_root")) & sizes)
-    # The first shingle that two sets share has nothing in common before it in either.
-    most = F.least(F.first("a_n") - F.min("a_place"), F.first("b_n") - F.min("b_place"))
-    pairs = pairs.groupBy(F.col("a_row").alias("a"), F.col("b_row").alias("b")).agg(most.alias("most"), (F.first("a_n") + F.first("b_n")).alias("n"))
-    return pairs.filter(F.col("most") >= least * (F.col("n") - F.col("most"))).select("a", "b")
+    return _meetings(apart, similarity).select(F.col("a_row").alias("a"), F.col("b_row").alias("b")).distinct()
 
 
 def _classes(scan: DataFrame, words_each: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
@@ -236,7 +254,7 @@ def _rows_by_class(scan: DataFrame, words_each: int, similarity: float, id_col:
     heads = stage_table(prints.groupBy("name").agg(F.min("row").alias("head")), "heads")
     of_shingle = Window.partitionBy("shingle")
     each = prints.select("row", "node", "n", F.posexplode("first").alias("place", "shingle")).withColumn("low", F.min("node").over(of_shingle)).withColumn("high", F.max("node").over(of_shingle))
-    shared = stage_table(each.filter("low <> high").select("shingle", "row", "n", "place"), "shared")
+    shared = stage_table(_in_reach(each.filter("low <> high"), similarity).select("shingle", "row", "n", "place"), "shared")
     sweep(spark)
     met = stage_table(shared.join(heads.select(F.col("head").alias("row")), "row", "left_semi"), "met")
     discard(shared)
@@ -250,7 +268,7 @@ def _rows_by_class(scan: DataFrame, words_each: int, similarity: float, id_col:
     left, _ = _pairs_apart(alone)
     stars = components(_verified(_ball_pairs(nodes).unionAll(_neighbours(alone, 0)).distinct(), nodes, of_pairs, words_each, similarity))
     for k in range(1, MOST_ORDERS + 1):
-        apart, before = _rooted(met, stars), left
+        apart, before = _rooted(met, stars, similarity), left
         left, rows = _pairs_apart(apart)
         all_of_them = left <= PAIRS_EACH * rows or left > before / 2 or k == MOST_ORDERS
         more = _verified(_every_pair(apart, similarity) if all_of_them else _neighbours(apart, k), nodes, of_pairs, words_each, similarity)
