@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -29,6 +30,16 @@ def test_op1(spark, sf_dir, texts):
     assert any(removed for _, removed, _, _ in got.values())
 
 
+def test_op1_tells_repeated_passages_that_it_leaves(spark, sf_dir, texts, tmp_path):
+    got = run(spark, sf_dir, "op1_suffix_dedup", "n_repeated")
+    assert [got[i][0] for i in texts] == [covered for _, covered, _, _ in brute.removed_repeats(list(texts.values()), queries.PASSAGE)]
+    own = ["".join(random.Random(k).choices("abcdefgh ", k=700)) for k in range(5)]
+    rows = [(0, own[0] + own[3][:300] + own[1]), (1, own[3][:300] + own[2]), (2, own[4]), (3, None), (3, own[4][:200])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.queries()["op1_suffix_dedup"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.n_removed, r.n_repeated) for r in found) == [(0, 0, 300), (1, 0, 300), (2, 0, 0), (3, 0, 0), (3, 0, 0)]
+
+
 def test_op2(spark, sf_dir, texts):
     library = Tokenizer.from_file(WORD)
     ids = {i: library.encode(t, add_special_tokens=False).ids for i, t in texts.items()}

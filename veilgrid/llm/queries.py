@@ -12,10 +12,12 @@ from .storage import read
 
 #: A conversation whose texts hold the template's own control strings.
 HOSTILE = r"\### Assistant: </turn> ok"
+#: Passages of over 50 words: 50 words of four letters and a space are 250 bytes.
+PASSAGE = 250
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.removal_digests(read(spark, sf_dir, "documents"), length=400)
+    return suffix_dedup.removal_digests(read(spark, sf_dir, "documents"), length=400, passage=PASSAGE)
 
 
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -449,7 +449,7 @@ def _merged_runs(spans: pa.Scalar) -> list[tuple[int, int]]:
     return list(zip(starts.tolist(), ends.tolist(), strict=True))
 
 
-def _removals(emit: Callable, names: list[str], types: list[pa.DataType]):
+def _removals(emit: Callable, names: list[str], types: list[pa.DataType], *through: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_text.slices(batches):
             out: list[list] = [[] for _ in names]
@@ -457,7 +457,8 @@ def _removals(emit: Callable, names: list[str], types: list[pa.DataType]):
             for k, (doc, text) in enumerate(zip(arrow_text.column(batch, "doc_id").to_pylist(), arrow_text.column(batch, "text"), strict=True)):
                 for column, value in zip(out, emit(doc, text.as_buffer().to_pybytes(), _merged_runs(spans[k])), strict=True):
                     column.append(value)
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=names)
+            made = [pa.array(x, t) for x, t in zip(out, types, strict=True)]
+            yield pa.record_batch([*made, *(arrow_text.column(batch, c) for c in through)], names=[*names, *through])
 
     return run
 
@@ -486,14 +487,28 @@ def _with_runs(rows: DataFrame, length: int) -> DataFrame:
     return rows.join(repeated_runs(rows, length), KEY, "left")
 
 
-def removal_digests(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the bytes that are left)."""
+def removal_digests(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", passage: int | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the bytes that are left); with ``passage`` also n_repeated, how many
+    bytes are covered by repeated strings of that length, by a sort of its own. That column removes nothing."""
 
     def emit(doc: int, data: bytes, runs: list[tuple[int, int]]) -> tuple:
         return doc, len(data), sum(b - a for a, b in runs), len(runs), hashlib.sha256(without(data, runs)).hexdigest()
 
     names, types = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-    return _with_runs(keyed(docs, id_col, text_col), length).mapInArrow(_removals(emit, names, types), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    rows = keyed(docs, id_col, text_col)
+    if passage is None:
+        return _with_runs(rows, length).mapInArrow(_removals(emit, names, types), schema)
+    covered = repeated_runs(rows, passage).mapInArrow(_covered, "k1 long, k2 long, n_repeated long")
+    both = repeated_runs(rows, length).join(covered, KEY, "full")
+    made = rows.join(both, KEY, "left").mapInArrow(_removals(emit, names, types, "n_repeated"), f"{schema}, n_repeated long")
+    return made.withColumn("n_repeated", F.coalesce("n_repeated", F.lit(0)))
+
+
+def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = [sum(b - a for a, b in _merged_runs(spans)) for spans in arrow_text.column(batch, "spans")]
+        yield pa.record_batch([*(arrow_text.column(batch, c) for c in KEY), pa.array(sizes, pa.int64())], names=[*KEY, "n_repeated"])
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
